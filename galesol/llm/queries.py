@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galesol.llm import oracles, quality_classifier, quality_rules
+from galesol.llm import minhash, oracles, packing, quality_classifier, quality_rules
 from galesol.llm.common import documents
 
 
@@ -14,12 +14,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_quality_rules(documents(spark, sf_dir))
 
 
+def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), share=85)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_classifier.score_documents(docs, model)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_quality_rules, op10_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op10_quality_classifier)}
 
 ORACLES: dict[str, str] = oracles.ORACLES
