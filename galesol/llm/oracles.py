@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from galesol.llm import sharding
 from galesol.llm.quality_rules import RULES
 from galesol.llm.textstats import STOP_WORDS
 
@@ -31,4 +32,23 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f"""
 
 
-ORACLES: dict[str, str] = {"op5_quality_rules": _rules_sql()}
+#: Every row's integer vector, all pairs with the stated queries, five best of each.
+_TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, o.vec_id, list_sum(list_transform(list_zip(q.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v o ON q.vec_id <> o.vec_id AND len(q.v) = len(o.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+#: A document's bucket has the fewest hash bits at which the bucket's bytes fit.
+_SHARDS = f"""
+WITH d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS k, coalesce(strlen(text), 0)::BIGINT AS bytes FROM documents),
+l AS (SELECT doc_id, bytes, k, x.depth, sum(bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_docs
+  FROM d, (SELECT unnest(range({sharding.BITS + 1})) AS depth) x WINDOW w AS (PARTITION BY x.depth, k >> ({sharding.BITS} - x.depth))),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, k, bytes ORDER BY depth) AS r FROM l WHERE shard_bytes <= {sharding.LIMIT_BYTES} OR depth = {sharding.BITS})
+SELECT doc_id, bytes, depth::INTEGER AS depth, right(lpad(bin(k), {sharding.BITS}, '0')[1:depth], 60) AS shard, shard_bytes::BIGINT AS shard_bytes, shard_docs::BIGINT AS shard_docs,
+  shard_bytes > {sharding.LIMIT_BYTES} AS oversized FROM f WHERE r = 1"""
+
+
+ORACLES: dict[str, str] = {"op2_va_file": _TOP_K, "op4_extendible_hashing": _SHARDS, "op5_quality_rules": _rules_sql()}

@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galesol.llm import minhash, oracles, packing, quality_classifier, quality_rules
-from galesol.llm.common import documents
+from galesol.llm import lines, minhash, oracles, packing, pii, quality_classifier, quality_rules, sharding, vafile
+from galesol.llm.common import documents, prepare
+
+
+def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(documents(spark, sf_dir))
+
+
+def op2_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.exact_top_k(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(documents(spark, sf_dir))
+
+
+def op4_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(documents(spark, sf_dir))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +46,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(docs, model)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op10_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op10_quality_classifier)}
 
 ORACLES: dict[str, str] = oracles.ORACLES
