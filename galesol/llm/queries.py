@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galesol.llm import lines, minhash, oracles, packing, pii, quality_classifier, quality_rules, sharding, vafile
+from galesol.llm import lines, minhash, oracles, packing, pii, quality_classifier, quality_rules, repeats, sharding, vafile
 from galesol.llm.common import documents, prepare
 
 
@@ -40,12 +40,16 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), share=85)
 
 
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(documents(spark, sf_dir))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_classifier.score_documents(docs, model)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op10_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op9_repeated_substrings, op10_quality_classifier)}
 
 ORACLES: dict[str, str] = oracles.ORACLES
