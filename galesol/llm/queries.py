@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galesol.llm import lines, minhash, oracles, packing, pii, quality_classifier, quality_rules, repeats, sharding, vafile
+from galesol.llm import lines, minhash, oracles, packing, pieces, pii, quality_classifier, quality_rules, repeats, sharding, vafile
 from galesol.llm.common import documents, prepare
 
 
@@ -40,6 +40,12 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), share=85)
 
 
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(documents(spark, sf_dir))
 
@@ -50,6 +56,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(docs, model)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op9_repeated_substrings, op10_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op8_merge_dropout, op9_repeated_substrings, op10_quality_classifier)}
 
 ORACLES: dict[str, str] = oracles.ORACLES
