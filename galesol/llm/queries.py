@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from galesol.llm import lines, minhash, oracles, packing, pieces, pii, quality_classifier, quality_rules, repeats, sharding, vafile
@@ -56,6 +57,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(docs, model)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bootstrapped_pii, op2_va_file, op3_fuzzy_lines, op4_extendible_hashing, op5_quality_rules, op6_best_two_fit, op7_circulant_minhash, op8_merge_dropout, op9_repeated_substrings, op10_quality_classifier)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_bootstrapped_pii,
+        op2_va_file,
+        op3_fuzzy_lines,
+        op4_extendible_hashing,
+        op5_quality_rules,
+        op6_best_two_fit,
+        op7_circulant_minhash,
+        op8_merge_dropout,
+        op9_repeated_substrings,
+        op10_quality_classifier,
+        pipeline,
+    )
+}
 
 ORACLES: dict[str, str] = oracles.ORACLES
