@@ -130,52 +130,70 @@ _WANTED = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("name", pa.int64()
 _RUNS = "doc long, h long, s long, e long"
 
 
-def _windows(pdf, length: int, hasher: Hasher):
-    """Row number, offset and name of every window of the spans in a frame."""
-    row, offset, name = [], [], []
-    for i, (data, least, most) in enumerate(zip(pdf["bytes"], pdf["least"], pdf["most"])):
-        sums = hasher.sums(np.frombuffer(data, dtype=np.uint8))
-        n = most - least + 1
-        name.append(hasher.names(sums, slice(0, n), slice(length, length + n), slice(0, n)))
-        row.append(np.full(n, i))
-        offset.append(np.arange(most, least - 1, -1))
-    return np.concatenate(row), np.concatenate(offset), np.concatenate(name)
-
-
-def _runs(pdf, row: np.ndarray, offset: np.ndarray):
-    """Runs [s, e] of window starts of single classes, from (row, offset) pairs."""
-    import pandas as pd
-
-    keep = (pdf["n"].to_numpy() == 1)[row]
-    row, start = row[keep], pdf["at"].to_numpy()[row[keep]] - offset[keep]
-    order = np.lexsort((start, row))
-    row, start = row[order], start[order]
-    new = np.r_[True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)] if len(row) else np.empty(0, dtype=bool)
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(row)] - 1 if len(first) else first
-    return pd.DataFrame({"doc": pdf["doc"].to_numpy()[row[first]], "h": pdf["h"].to_numpy()[row[first]], "s": start[first], "e": start[last]}).astype("int64")
+#: Bytes of spans worked on at a time, and most bytes of a task's hasher.
+SPAN_BYTES = 1 << 19
+
+
+def _windows(table: pa.Table, length: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, offset and name of every window of the spans in a table."""
+    spans = table.column("bytes").combine_chunks()
+    ends = np.frombuffer(spans.buffers()[1], dtype=np.int32)[spans.offset : spans.offset + len(spans) + 1].astype(np.int64)
+    sums = hasher.sums(np.frombuffer(spans.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]])
+    least, most = table.column("least").to_numpy(), table.column("most").to_numpy()
+    counts = (most - least + 1).astype(np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = (ends[:-1] - ends[0])[row] + place
+    return row, most[row] - place, hasher.names(sums, start, start + length, start)
 
 
 def _induce(length: int):
-    def run(pdf):
-        pdf = pdf.reset_index(drop=True)
-        row, offset, name = _windows(pdf, length, Hasher(2 * length))
-        _, which, count = np.unique(np.stack([offset.astype(np.uint64), name]), axis=1, return_inverse=True, return_counts=True)
-        again = count[which.ravel()] > 1
-        return _runs(pdf, row[again], offset[again])
+    """Runs of repeated windows of single classes; rows come sorted by name."""
+
+    def repeated(table: pa.Table, hasher: Hasher) -> pa.RecordBatch:
+        row, offset, window = _windows(table, length, hasher)
+        names = table.column("name").to_numpy().view(np.uint64)
+        key = mix64(window ^ mix64(names[row] + offset.astype(np.uint64) * np.uint64(_BASE)))
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        keep = (count[which] > 1) & (table.column("n").to_numpy() == 1)[row]
+        row, start = row[keep], table.column("at").to_numpy()[row[keep]] - offset[keep]
+        order = np.lexsort((start, row))
+        row, start = row[order], start[order]
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)]) if len(row) else row
+        last = np.r_[first[1:], len(row)] - 1 if len(row) else row
+        take = lambda c: table.column(c).to_numpy()[row[first]]
+        return pa.RecordBatch.from_arrays([pa.array(x.astype("i8")) for x in (take("doc"), take("h"), start[first], start[last])], names=["doc", "h", "s", "e"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, held, size = None, [], 0
+        for batch in batches:
+            # A name has at most GROUP_CLASSES spans, so what is held stays small.
+            hasher = hasher or Hasher(SPAN_BYTES + (GROUP_CLASSES + batch.num_rows + 512) * 2 * length)
+            held.append(batch)
+            size += batch.num_rows * 2 * length
+            if size >= SPAN_BYTES:
+                table = pa.Table.from_batches(held)
+                names = table.column("name").to_numpy()
+                cut = int(np.searchsorted(names, names[-1]))
+                if cut:
+                    yield repeated(table.slice(0, cut), hasher)
+                    held, size = table.slice(cut).to_batches(), (table.num_rows - cut) * 2 * length
+        if held:
+            yield repeated(pa.Table.from_batches(held), hasher)
 
     return run
 
 
 def _explode(length: int):
-    def run(batches):
-        hasher = Hasher(2 * length)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = None
         for batch in batches:
-            pdf = batch.to_pandas()
-            if len(pdf):
-                row, offset, name = _windows(pdf, length, hasher)
-                take = lambda c: pdf[c].to_numpy()[row]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (take("doc"), take("h"), take("name"), take("n"), offset.astype("i4"), name.view(np.int64), take("at") - offset)], names=["doc", "h", "name", "n", "offset", "window", "s"])
+            if batch.num_rows:
+                table = pa.Table.from_batches([batch])
+                hasher = hasher if hasher and len(hasher.up) > batch.num_rows * 2 * length else Hasher(batch.num_rows * 2 * length)
+                row, offset, window = _windows(table, length, hasher)
+                take = lambda c: table.column(c).to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (take("doc"), take("h"), take("name"), take("n"), offset.astype("i4"), window.view(np.int64), take("at") - offset)], names=["doc", "h", "name", "n", "offset", "window", "s"])
 
     return run
 
@@ -197,7 +215,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     wanted = stored(wanted.agg(F.collect_list(F.struct("name", F.col("place.at").alias("at"), "least", "most", "n", "big")).alias("wanted")))
     spans = texts.join(small_side(wanted, 8), ["doc_id", "h"]).select("doc_id", "h", "text", "wanted").mapInArrow(_cut_out(length), "doc long, h long, name long, at long, least int, most int, n long, big boolean, bytes binary")
     spans = stored(spans)
-    induced = spans.where("NOT big").groupBy("name").applyInPandas(_induce(length), _RUNS)
+    induced = spans.where("NOT big").repartition("name").sortWithinPartitions("name").mapInArrow(_induce(length), _RUNS)
     windows = spans.where("big").mapInArrow(_explode(length), "doc long, h long, name long, n long, offset int, window long, s long")
     again = windows.groupBy("name", "offset", "window").agg(F.count("*").alias("c")).where("c > 1").select("name", "offset", "window")
     split = windows.where("n = 1").join(again, ["name", "offset", "window"], "left_semi").select("doc", "h", "s", F.col("s").alias("e"))
