@@ -39,7 +39,7 @@ LENGTH, GRAM = 400, 200
 #: Bytes hashed at a time; positions within them fit the low bits of a sampling key.
 CHUNK_BITS = 20
 #: Classes of one name that are compared within a task; larger names are split by window.
-GROUP_CLASSES = 2000
+GROUP_CLASSES = 10_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -204,7 +204,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     texts = keyed(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
     points = stored(texts.where(F.octet_length("text") >= length).mapInArrow(_sample(length, gram), "doc long, h long, name long, span long, at long, least int, most int"))
     shared = stored(points.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"))
-    points = points.join(small_side(shared), "name")
+    points = points.join(shared, "name")
     keys = ["name", "span", "least", "most"]
     classes = stored(points.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct("doc", "h", "at")).alias("place")))
     twice = classes.where("n > 1").select(*keys)
@@ -259,7 +259,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     runs = repeated_runs(docs, length, gram)
     texts = keyed(docs).withColumn("__doc", F.coalesce("doc_id", F.lit(-(1 << 63))))
     runs = runs.select(F.col("doc").alias("__doc"), "h", "runs")
-    return texts.join(small_side(runs, 8), ["__doc", "h"], "left").select("doc_id", "text", "runs").mapInArrow(_remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return texts.join(runs, ["__doc", "h"], "left").select("doc_id", "text", "runs").mapInArrow(_remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
