@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -134,9 +135,7 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], share: int, side: np.ndarra
 
 
 def _confirm(share: int):
-    def run(key, pdf):
-        import pandas as pd
-
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(key[1]), int(key[2])
         pdf = pdf.drop_duplicates(["doc_id", "text"])
         links = _forest(pdf["doc_id"].to_numpy(), [shingle_set(t) for t in pdf["text"]], share, pdf["block"].to_numpy() if i != j else None)

@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -151,7 +152,7 @@ def best_two_fit(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _pack(limit: int):
-    def run(key, pdf):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "start", "length", "ids_crc32"], kind="stable", na_position="first").reset_index(drop=True)
         number, offset = best_two_fit(pdf["length"].to_numpy(), limit)
         return pdf.assign(sequence_id=(int(key[0]) << 32) + number, offset=offset)[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]

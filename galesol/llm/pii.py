@@ -197,20 +197,28 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, extra in zip(batch.column("text").to_pylist(), batch.column("__extra").to_pylist()):
-            spans = seeds(text) + [(x["kind"], x["start"], x["end"]) for x in extra or []] if text else []
-            texts.append(mask(text, spans) if spans else text)
-        yield batch.drop_columns(["__h", "__extra"]).set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+def _mask(place: int):
+    """Mask the text at column `place`; the added spans are the last column, which goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, extra in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                spans = seeds(text) + [(x["kind"], x["start"], x["end"]) for x in extra or []] if text else []
+                texts.append(mask(text, spans) if spans else text)
+            columns = [pa.array(texts, pa.string()) if i == place else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return run
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The input's rows and columns, with personal data in `text` replaced by <EMAIL>, <IP>, <CARD> or <PHONE>."""
     scanned = _scanned(docs)
-    extra = discovered(scanned).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("extra").alias("__extra"))
+    extra = discovered(scanned)
     discard(scanned)
-    keyed = docs.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(small_side(extra, 4), (keyed["doc_id"] == extra["__id"]) & (keyed["__h"] == extra["__h"]), "left").select(*docs.columns, keyed["__h"], "__extra")
-    return joined.mapInArrow(_mask, docs.schema)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("h"))
+    numbered = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    joined = rows.join(small_side(extra, 4), same, "left").select(*[F.col("row")[c].alias(n) for c, n in numbered.items()], "extra")
+    return joined.mapInArrow(_mask(docs.columns.index("text")), docs.withColumnsRenamed(numbered).schema).toDF(*docs.columns)

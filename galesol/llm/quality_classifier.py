@@ -137,6 +137,5 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The input's rows whose score reaches the threshold, with the input's columns."""
-    names = docs.columns
-    marked = docs.withColumn("__x", features(F.col("text")))
-    return marked.where(model.score(F.col("__x")) >= threshold).select(*names)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.select("row", features(F.col("row.text")).alias("x")).where(model.score(F.col("x")) >= threshold).select("row.*")

@@ -71,7 +71,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> DataFrame:
     """Write `docs` as Parquet with a folder for every shard; returns the assignment. Rows need distinct ids."""
     assigned = stored(assign_shards(docs, limit))
-    shard = F.when(F.col("shard") == "", F.lit("root")).otherwise(F.col("shard"))
+    shard = F.concat(F.lit("b"), "shard")  # a letter first, so that readers take no folder for a number
     marked = docs.join(assigned.select("doc_id", shard.alias("__shard")).dropDuplicates(["doc_id"]), "doc_id")
     marked.repartition("__shard").write.partitionBy("__shard").parquet(path)
     return assigned

@@ -99,7 +99,7 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.nd
 
 
 def _search(k: int):
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame([], columns=["query_id", "vec_id", "score"]).astype("int64")
         found = search_block(left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), k)
