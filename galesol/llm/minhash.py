@@ -76,8 +76,7 @@ def band_keys(signature: np.ndarray, band: int = BAND) -> list[list[int]]:
 
 def _describe(batches: Iterator[pa.RecordBatch], coordinates: int = COORDINATES, band: int = BAND) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        texts = batch.column(1)
+        ids, texts = batch.column(0), batch.column(2)
         sets = [shingle_set(texts[i].as_py()) for i in range(len(texts))]
         digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
         full = [i for i, s in enumerate(sets) if len(s)]
@@ -87,12 +86,13 @@ def _describe(batches: Iterator[pa.RecordBatch], coordinates: int = COORDINATES,
         yield pa.RecordBatch.from_arrays(
             [
                 ids,
+                batch.column(1),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
                 pa.array([(d & (1 << 64) - 1) - (1 << 63) for d in digests], pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "c1", "c2", "bands"],
+            names=["doc_id", "h", "n_shingles", "c1", "c2", "bands"],
         )
 
 
@@ -148,9 +148,15 @@ def near_duplicates(docs: DataFrame, share: int = 80, coordinates: int = COORDIN
     """doc_id, n_shingles, component_id, kept for every input row; links need 100 * intersection >= share * union.
 
     component_id is the smallest doc_id that links reach, itself included."""
+    return _verdict(docs, share, coordinates, band).drop("h")
+
+
+def _verdict(docs: DataFrame, share: int, coordinates: int = COORDINATES, band: int = BAND) -> DataFrame:
+    """As near_duplicates, with the hash of each row's text (h)."""
     prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = stored(texts.mapInArrow(lambda it: _describe(it, coordinates, band), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    described = stored(texts.mapInArrow(lambda it: _describe(it, coordinates, band), "doc_id long, h long, n_shingles long, c1 long, c2 long, bands array<long>"))
+    texts = texts.drop("h")
     full = described.where("n_shingles > 0")
     nodes = stored(full.groupBy("n_shingles", "c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
 
@@ -172,19 +178,19 @@ def near_duplicates(docs: DataFrame, share: int = 80, coordinates: int = COORDIN
     out = described.drop("bands").join(by_class, ["n_shingles", "c1", "c2"], "left")
     discard(placed, clusters)
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def keep_one_each(docs: DataFrame, share: int = 80) -> DataFrame:
     """The input's rows without near-duplicates: of each component the row with the smallest doc_id stays.
 
     Of rows that repeat that doc_id one stays; rows whose doc_id is null stay."""
-    verdict = near_duplicates(docs, share)
-    kept = verdict.where("kept").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi")
-    ties = stored(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    verdict = stored(_verdict(docs, share).where("doc_id IS NOT NULL").select("doc_id", "h", "kept"))
+    gone = stored(verdict.where("NOT kept").select("doc_id", "h").distinct())
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("h"))
+    rest = rows.join(small_side(gone), same, "left_anti").select("row.*")
+    ties = stored(verdict.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if ties.isEmpty():
-        return one.unionByName(docs.where("doc_id IS NULL"))
-    single = one.join(ties, "doc_id", "left_anti")
-    merged = one.join(ties, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(merged).unionByName(docs.where("doc_id IS NULL"))
+        return rest
+    return rest.join(ties, "doc_id", "left_anti").select(*docs.columns).unionByName(rest.join(ties, "doc_id", "left_semi").dropDuplicates(["doc_id"]))

@@ -130,7 +130,7 @@ _WANTED = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("name", pa.int64()
 _RUNS = "doc long, h long, s long, e long"
 
 
-#: Bytes of spans worked on at a time, and most bytes of a task's hasher.
+#: Bytes of spans worked on at a time; a larger name is worked on by itself.
 SPAN_BYTES = 1 << 19
 
 
@@ -165,10 +165,13 @@ def _induce(length: int):
         return pa.RecordBatch.from_arrays([pa.array(x.astype("i8")) for x in (take("doc"), take("h"), start[first], start[last])], names=["doc", "h", "s", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = None, [], 0
+        hasher, held, size = Hasher(SPAN_BYTES), [], 0
+
+        def wide(rows: int) -> Hasher:
+            return hasher if len(hasher.up) > rows * 2 * length else Hasher(rows * 2 * length)
+
         for batch in batches:
             # A name has at most GROUP_CLASSES spans, so what is held stays small.
-            hasher = hasher or Hasher(SPAN_BYTES + (GROUP_CLASSES + batch.num_rows + 512) * 2 * length)
             held.append(batch)
             size += batch.num_rows * 2 * length
             if size >= SPAN_BYTES:
@@ -176,10 +179,12 @@ def _induce(length: int):
                 names = table.column("name").to_numpy()
                 cut = int(np.searchsorted(names, names[-1]))
                 if cut:
+                    hasher = wide(cut)
                     yield repeated(table.slice(0, cut), hasher)
                     held, size = table.slice(cut).to_batches(), (table.num_rows - cut) * 2 * length
         if held:
-            yield repeated(pa.Table.from_batches(held), hasher)
+            table = pa.Table.from_batches(held)
+            yield repeated(table, wide(table.num_rows))
 
     return run
 
