@@ -51,4 +51,29 @@ SELECT doc_id, bytes, depth::INTEGER AS depth, right(lpad(bin(k), {sharding.BITS
   shard_bytes > {sharding.LIMIT_BYTES} AS oversized FROM f WHERE r = 1"""
 
 
-ORACLES: dict[str, str] = {"op2_va_file": _TOP_K, "op4_extendible_hashing": _SHARDS, "op5_quality_rules": _rules_sql()}
+#: Shingle sets, all pairs that share a shingle, and what links reach.
+_NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT w.doc_id, count(s.s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.b) AS component_id, n.doc_id = min(r.b) AS kept FROM n JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n"""
+
+
+#: Every 400-byte string by its MD5, the starts of repeated ones, the runs they cover, and the bytes between.
+_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT r, unnest(hs) AS h, unnest(range(len(hs))) AS i FROM (SELECT r, list_transform(range(greatest(octet_length(b) - 399, 0)), lambda i: md5(array_slice(b, i + 1, i + 400))) AS hs FROM d)),
+t AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (SELECT r, i, sum(CASE WHEN i <= p + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM t)),
+c AS (SELECT r, min(i) AS s, max(i) + 400 AS e FROM g GROUP BY r, g),
+k AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS a, s AS z FROM c
+  UNION ALL SELECT d.r, coalesce(max(e), 0), any_value(octet_length(b)) FROM d LEFT JOIN c USING (r) GROUP BY d.r),
+o AS (SELECT r, unhex(string_agg(hex(array_slice(b, a + 1, z)), '' ORDER BY a)) AS kept FROM k JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, (octet_length(b) - octet_length(kept))::BIGINT AS n_removed,
+  (SELECT count(*) FROM c WHERE c.r = d.r)::BIGINT AS n_spans, sha256(kept) AS kept_sha256 FROM d JOIN o USING (r)"""
+
+
+ORACLES: dict[str, str] = {"op9_repeated_substrings": _REPEATS, "op7_circulant_minhash": _NEAR, "op2_va_file": _TOP_K, "op4_extendible_hashing": _SHARDS, "op5_quality_rules": _rules_sql()}

@@ -33,39 +33,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from galesol.llm.common import discard, prepare, small_side, stored
 from galesol.llm.lines import keyed
-from galesol.llm.shingles import mix64
+from galesol.llm.shingles import BASE, Hasher, mix64
 
 LENGTH, GRAM = 400, 200
 #: Bytes hashed at a time; positions within them fit the low bits of a sampling key.
 CHUNK_BITS = 20
 #: Classes of one name that are compared within a task; larger names are split by window.
 GROUP_CLASSES = 10_000
-_BASE = 0x9E3779B97F4A7C15 | 1
-_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-class Hasher:
-    """Names of all strings of one length in a run of bytes."""
-
-    def __init__(self, n: int):
-        self.up = _powers(_BASE, n + 1)
-        self.down = _powers(pow(_BASE, -1, 1 << 64), n + 1)
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data] * self.up[: len(data)], out=out[1:])
-        return out
-
-    def names(self, sums: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice, at: np.ndarray | slice) -> np.ndarray:
-        return mix64((sums[ends] - sums[starts]) * self.down[at])
-
-
 def _least_ahead(keys: np.ndarray, w: int) -> np.ndarray:
     """Least of every w keys in a row, by prefix and suffix minima of blocks of w."""
     n = len(keys) - w + 1
@@ -153,7 +127,7 @@ def _induce(length: int):
     def repeated(table: pa.Table, hasher: Hasher) -> pa.RecordBatch:
         row, offset, window = _windows(table, length, hasher)
         names = table.column("name").to_numpy().view(np.uint64)
-        key = mix64(window ^ mix64(names[row] + offset.astype(np.uint64) * np.uint64(_BASE)))
+        key = mix64(window ^ mix64(names[row] + offset.astype(np.uint64) * np.uint64(BASE)))
         _, which, count = np.unique(key, return_inverse=True, return_counts=True)
         keep = (count[which] > 1) & (table.column("n").to_numpy() == 1)[row]
         row, start = row[keep], table.column("at").to_numpy()[row[keep]] - offset[keep]

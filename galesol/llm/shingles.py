@@ -1,4 +1,4 @@
-"""Word shingles of texts as arrays of 64-bit hashes."""
+"""64-bit hashes of word shingles and of strings within a run of bytes."""
 
 from __future__ import annotations
 
@@ -35,3 +35,29 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     for k in range(size):
         total += h[k : k + n] * _PLACES[k]
     return np.unique(mix64(total))
+
+
+BASE = 0x9E3779B97F4A7C15 | 1
+_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class Hasher:
+    """Names of all strings of one length in a run of bytes."""
+
+    def __init__(self, n: int):
+        self.up = _powers(BASE, n + 1)
+        self.down = _powers(pow(BASE, -1, 1 << 64), n + 1)
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_TABLE[data] * self.up[: len(data)], out=out[1:])
+        return out
+
+    def names(self, sums: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice, at: np.ndarray | slice) -> np.ndarray:
+        return mix64((sums[ends] - sums[starts]) * self.down[at])
