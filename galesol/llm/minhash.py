@@ -11,7 +11,8 @@ A large cluster is cut into blocks by hash, and every pair of blocks is compared
 in a task of its own, which returns a spanning forest of the links it confirmed.
 
 Null text is an empty text; texts without words have an empty set and link to
-nothing. Rows that repeat a doc_id with the same set are copies of each other.
+nothing. Rows that repeat a doc_id with the same set are copies of each other. A
+row without a doc_id belongs with rows of an equal set, and links to no others.
 An empty table gives an empty result; only doc_id and text are read, so other
 columns may have any name.
 """

@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -66,6 +67,8 @@ class Codec:
                 self.scores[p] = (-m.get_score(i), i)
                 self.bytes_of[i] = p.replace(MARK, " ").encode("utf-8")
         assert all(self.byte_ids), "the model must have byte pieces"
+        self.rank = {p: score for p, (score, _) in self.scores.items()}
+        self.number = {p: i for p, (_, i) in self.scores.items()}
         self.limit, self.seed, self.variants = int(rate * 2**64), seed, variants
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
@@ -74,26 +77,25 @@ class Codec:
         return self.merge_short(word, key) if len(word) <= SHORT else self.merge_long(word, key)
 
     def merge_short(self, word: str, key: int) -> list[str]:
-        scores, limit = self.scores, self.limit
-        none = (_NONE, 0)
+        rank, number, limit = self.rank.get, self.number, self.limit
         parts = list(word)
         start = list(range(len(parts)))
-        agenda = [scores.get(word[i : i + 2], none)[0] for i in range(len(parts) - 1)]
+        agenda = [rank(x + y, _NONE) for x, y in zip(word, word[1:])]
         while agenda:
             best = min(agenda)
             if best == _NONE:
                 break
             k = agenda.index(best)
             both = parts[k] + parts[k + 1]
-            if limit and ((key ^ (start[k] << 44) ^ (scores[both][1] * _ODD)) * _SPREAD) & _FULL < limit:
+            if limit and ((key ^ (start[k] << 44) ^ (number[both] * _ODD)) * _SPREAD) & _FULL < limit:
                 agenda[k] = _NONE
                 continue
             parts[k] = both
             del parts[k + 1], start[k + 1], agenda[k]
             if k < len(agenda):
-                agenda[k] = scores.get(both + parts[k + 1], none)[0]
+                agenda[k] = rank(both + parts[k + 1], _NONE)
             if k:
-                agenda[k - 1] = scores.get(parts[k - 1] + both, none)[0]
+                agenda[k - 1] = rank(parts[k - 1] + both, _NONE)
         return parts
 
     def merge_long(self, word: str, key: int) -> list[str]:
@@ -132,14 +134,14 @@ class Codec:
 
     def word_ids(self, word: str, variant: int) -> bytes:
         key = xxhash.xxh3_64_intdigest(word.encode("utf-8"), seed=(self.seed * self.variants + variant) & _FULL) if self.limit else 0
+        number = self.number
         ids: list[int] = []
         for p in self.merge(word, key):
-            found = self.scores.get(p)
-            if found:
-                ids.append(found[1])
+            if p in number:
+                ids.append(number[p])
             else:
                 ids += [self.byte_ids[b] for b in p.encode("utf-8")]
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str, variant: int = 0) -> bytes:
         """Ids of a text as little-endian 32-bit numbers."""
