@@ -137,5 +137,5 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The input's rows whose score reaches the threshold, with the input's columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.select("row", features(F.col("row.text")).alias("x")).where(model.score(F.col("x")) >= threshold).select("row.*")
+    # One expression: a filter over a projected array would be pushed below it and the features repeated at every use.
+    return docs.where(S.let(features(F.col("text")), model.score) >= threshold)
