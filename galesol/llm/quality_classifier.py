@@ -41,7 +41,7 @@ def features(text: Column) -> Column:
         share = lambda v, of: F.log1p(100.0 * v.cast("double") / of)
         return F.array(
             F.log(F.greatest(b["n"], F.lit(60)).cast("double")),
-            F.log((F.length(S.without(text, S.SPACE)) + 110.0) / n),
+            F.log((S.word_chars(text) + 110.0) / n),
             share(S.count_of(text, "#*$%&<>"), n),
             share(S.count_of(text, "|"), n),
             share(S.count_of(text, "!"), n),

@@ -47,7 +47,7 @@ def measures(text: Column) -> Column:
     by_word = S.let(S.words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), S.repeated_words(w).alias("n_repeat_words"), S.stop_words(w).alias("n_stop_words")))
     return S.let(by_word, lambda b: S.let(S.line_counts(text), lambda x: F.struct(
         b["n_words"].alias("n_words"),
-        F.length(S.without(text, S.SPACE)).cast("long").alias("word_chars"),
+        S.word_chars(text).alias("word_chars"),
         S.count_of(text, S.SYMBOLS).alias("n_symbols"),
         x["n_dup_lines"].alias("n_dup_lines"),
         b["n_repeat_words"].alias("n_repeat_words"),

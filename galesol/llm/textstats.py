@@ -23,12 +23,14 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def count_of(text: Column, chars: str) -> Column:
+    """Characters of `text` that are among `chars`. A pattern's scan is several times faster than translating the text."""
+    kind = "".join(c if c.isalnum() else rf"\x{ord(c):02x}" for c in chars)
+    return F.regexp_count(text, F.lit(f"[{kind}]")).cast("long")
 
 
-def count_of(text: Column, chars: str) -> Column:
-    return (F.length(text) - F.length(without(text, chars))).cast("long")
+def word_chars(text: Column) -> Column:
+    return F.length(text).cast("long") - count_of(text, SPACE)
 
 
 def words(text: Column) -> Column:
@@ -65,7 +67,7 @@ def repeated_words(w: Column, size: int = 5) -> Column:
 
 def line_counts(text: Column) -> Column:
     """Struct: lines that hold a word, and those of them equal to an earlier line."""
-    full = F.filter(F.split(text, "\n"), lambda x: without(x, SPACE) != "")
+    full = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     return let(full, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
 
 
