@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -55,3 +59,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sized_groups(spark: SparkSession) -> int:
     """Number of partitions for a shuffle that this package asks for by name."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker keeps from task to task. Functions travel by value, so no module of this package lives there to hold it."""
+    kept = sys.modules.setdefault("galesol_worker", types.ModuleType("galesol_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

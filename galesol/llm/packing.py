@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from galesol.llm.common import prepare, stored
+from galesol.llm.common import per_worker, prepare, stored
 
 LENGTH, END = 1024, 2
 #: Pieces that one packing group aims at. What a group leaves unfilled is at most about one sequence.
@@ -78,7 +78,7 @@ def _pieces(json_path: str, ranks_path: str | None, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = None
         for batch in batches:
-            encode = encode or encoder(json_path, ranks_path)
+            encode = encode or per_worker((json_path, ranks_path), lambda: encoder(json_path, ranks_path))
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.append(encode(text or ""), np.array([end])).astype("<u4")

@@ -32,11 +32,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from galesol.llm.common import prepare
+from galesol.llm.common import per_worker, prepare
 
 MARK = "▁"
 RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Words kept per variant by one task, and the longest word that is kept.
+#: Words kept per variant by one worker, and the longest word that is kept.
 KNOWN_WORDS, KNOWN_LENGTH = 250_000, 32
 _WORDS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _FULL = (1 << 64) - 1
@@ -175,11 +175,16 @@ class Codec:
         return xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=self.seed & _FULL) % self.variants
 
 
+def _codec(model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> Codec:
+    """The worker's codec: words that earlier tasks met stay known."""
+    return per_worker((model_path, rate, seed, variants), lambda: Codec(model_path, rate, seed, variants))
+
+
 def _encode(model_path: str, rate: float, seed: int, variants: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in batches:
-            codec = codec or Codec(model_path, rate, seed, variants)
+            codec = codec or _codec(model_path, rate, seed, variants)
             ids = [np.frombuffer(codec.encode(t or "", codec.variant(d)), dtype="<u4").astype("i4") for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -196,7 +201,7 @@ def _decode(model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in batches:
-            codec = codec or Codec(model_path)
+            codec = codec or _codec(model_path)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
     return run
@@ -212,7 +217,7 @@ def _round_trip(model_path: str, rate: float, seed: int, variants: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in batches:
-            codec = codec or Codec(model_path, rate, seed, variants)
+            codec = codec or _codec(model_path, rate, seed, variants)
             n, crc, sha = [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = codec.encode(text or "", codec.variant(d))
