@@ -8,8 +8,9 @@ anew is a new candidate. The same key gives the same segmentation everywhere;
 other seeds, and documents of another variant, give other ones. Rate 0 is the
 model's own segmentation.
 
-Pieces hold no white-space mark but at their start, so a text is cut before marks (and at
-line ends, which only byte pieces cover) and words are encoded one by one.
+Pieces hold no white-space mark but at their start, so a text is cut before marks, at
+line ends, which only byte pieces cover, and between a letter and punctuation that no
+piece joins to a letter; the words between are encoded one by one.
 A mark character in the text itself is written as byte pieces, and unknown characters are
 bytes too, so decoding gives back every text. This needs a model without normalisation
 and with byte pieces, as is checked when it is loaded.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,6 +41,8 @@ RATE, SEED, VARIANTS = 0.1, 17, 4
 #: Words kept per variant by one worker, and the longest word that is kept.
 KNOWN_WORDS, KNOWN_LENGTH = 250_000, 32
 _WORDS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTER = re.compile(f"[{_LETTERS}]").match
 _FULL = (1 << 64) - 1
 _ODD, _SPREAD = 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 #: Words up to this length keep their agenda as a plain list, which is faster there.
@@ -67,6 +71,10 @@ class Codec:
                 self.scores[p] = (-m.get_score(i), i)
                 self.bytes_of[i] = p.replace(MARK, " ").encode("utf-8")
         assert all(self.byte_ids), "the model must have byte pieces"
+        # Signs that no piece joins to a letter before them: a cut between the two changes no merge.
+        joined = {y for p in self.scores for x, y in zip(p, p[1:]) if _LETTER(x)}
+        signs = re.escape("".join(c for c in string.punctuation if c not in joined))
+        self.words = (re.compile(f"\n|{MARK}*[{_LETTERS}]++(?=[{signs}])|{MARK}*[^{MARK}\n]+|{MARK}+") if signs else _WORDS).findall
         self.rank = {p: score for p, (score, _) in self.scores.items()}
         self.number = {p: i for p, (_, i) in self.scores.items()}
         self.limit, self.seed, self.variants = int(rate * 2**64), seed, variants
@@ -156,7 +164,7 @@ class Codec:
                 out.append(literal)
             else:
                 marked = MARK + marked
-            for word in _WORDS.findall(marked):
+            for word in self.words(marked):
                 ids = known.get(word)
                 if ids is None:
                     ids = self.word_ids(word, variant)
