@@ -243,6 +243,18 @@ def test_written_shards(spark, tmp_path):
     assert back.count() == 40 and back.groupBy("__shard").agg(F.sum(F.length("text")).alias("n")).where("n > 200").count() == 0
 
 
+def test_written_shards_keep_and_part_equal_ids(spark, tmp_path):
+    rows = [(i, "x" * 30) for i in range(20)] + [(None, f"{i:030}") for i in range(30)] + [(7, "same text of one id " * 2)] * 25 + [(8, "y" * 500), (None, None)]
+    df = frame(spark, rows, clash=True)
+    assigned = sharding.write_shards(df, str(tmp_path / "out"), 200)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=key) == sorted(rows, key=key)
+    assert back.drop("__shard").columns == df.columns and assigned.count() == len(rows)
+    for r in back.groupBy("__shard").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("rows")).collect():
+        assert (r["n"] or 0) <= 200 or r["rows"] == 1
+
+
 # --- quality
 
 
