@@ -2,16 +2,19 @@
 
 Seeds are the matches of four kinds (email, ip, card, phone). The words around
 each seed are its lexical patterns: the two words before it, and the word on
-either side. Every other identifier-like word (six digits or more, or an @) is a
-candidate with patterns of the same form. Spark keeps the graph of patterns and
-instances and scores it in rounds:
+either side. A pattern has as instances whatever stands in its slot: a word that
+holds a letter or digit, a run of 2 to `RUN` digit groups, or an address spelled
+with "at" and "dot". Spark keeps the graph of patterns and instances and scores it
+in rounds:
 
     confidence(pattern, kind)  = known instances of the kind / (all instances + 2)
     confidence(instance, kind) = 1 - product over its sure patterns of (1 - confidence)
 
-Candidates that reach the threshold count as known in the next round, and every
-occurrence of them next to a sure pattern becomes a span of that kind. Spans of
-the seeds always stay.
+A pattern can be sure only with `LEAST_KNOWN` known instances; the texts are read
+for the slots of such patterns and for known instances elsewhere. Instances that
+reach the threshold count as known in the next round, until a round brings no new
+pattern and no new instance, and every occurrence of them next to a sure pattern
+becomes a span of that kind. Spans of the seeds always stay.
 
 Null text is an empty text. Rows that repeat a doc_id are told apart by a hash of
 their text. A document without findings has counts of 0, an empty span string and
@@ -23,12 +26,16 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
+from math import ceil
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from galesol.llm.common import discard, prepare, small_side, stored
+from galesol.llm.common import BROADCAST_ROWS, discard, prepare, small_side, stored
+from galesol.llm.shingles import mix64
 
 #: Kinds in their order, and the characters of an email's local part.
 KINDS = ("email", "ip", "card", "phone")
@@ -41,8 +48,12 @@ DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?\"'()[]*#$%&"
 
-ROUNDS = 3
+#: Most words of an instance of several words; a digit group of one.
+RUN = 8
+GROUP = re.compile(rb"[0-9]+([./-][0-9]+)*")
 SURE_PATTERN, SURE_INSTANCE = 0.7, 0.9
+#: Known instances without which n / (n + 2) stays below SURE_PATTERN.
+LEAST_KNOWN = ceil(2 * SURE_PATTERN / (1 - SURE_PATTERN) - 1e-9)
 
 Span = tuple[int, int, int]
 
@@ -92,41 +103,128 @@ def seeds(text: str) -> list[Span]:
     return out
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+class Words(dict):
+    """Numbers of lower-case words, and by number the hash of a word without its edges and what it is."""
 
+    def __init__(self) -> None:
+        self.plain: list[bytes] = []
+        self.hashes: list[int] = []
+        self.flags: list[int] = []
 
-def occurrences(text: str, found: list[Span]) -> list[dict]:
-    """Seeds and candidates of one text with value and pattern hashes; kind is None for candidates."""
-    if not found and not DIGIT.search(text) and "@" not in text:
+    def __missing__(self, raw: bytes) -> int:
+        plain = raw.strip(EDGES.encode())
+        group = GROUP.fullmatch(plain) is not None
+        self.plain.append(plain)
+        self.hashes.append(xxhash.xxh3_64_intdigest(plain))
+        # 1: not empty, 2: a digit group, 4: one that others may follow, 8: one that may follow others, 16: holds a letter or digit
+        self.flags.append(bool(plain) | group << 1 | (group and raw[-1:] in b"0123456789)") << 2 | (group and raw[:1] in b"0123456789(") << 3 | any(c.isalnum() for c in plain.decode("utf-8", "surrogatepass")) << 4)
+        self[raw] = number = len(self)
+        return number
+
+
+def raw_words(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").split()
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _before(two: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return mix64(mix64(two) + one)
+
+
+def _around(one: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return mix64(mix64(one) + after * np.uint64(3) + np.uint64(1))
+
+
+def _value(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words))
+
+
+def seed_patterns(text: str, found: list[Span]) -> list[dict]:
+    """Value and pattern hashes of the seeds of one text."""
+    if not found:
         return []
-    words = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    starts, ends = [s for s, _ in words], [e for _, e in words]
-    taken = sorted((s, e) for _, s, e in found)
-    spans: list[tuple[int | None, int, int]] = list(found)
-    for s, e in words:
-        w = text[s:e]
-        if sum(map(w.count, "0123456789")) < 6 and "@" not in w:
-            continue
-        s += len(w) - len(w.lstrip(EDGES))
-        e -= len(w) - len(w.rstrip(EDGES))
-        i = bisect_left(taken, (e,))
-        if s < e and not (i and max(x[1] for x in taken[max(0, i - 4) : i]) > s):
-            spans.append((None, s, e))
-    plain = lambda i: text[starts[i] : ends[i]].strip(EDGES).lower()
+    places = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    starts, ends = [s for s, _ in places], [e for _, e in places]
+    words = Words()
+    number = [words[w] for w in raw_words(text)]
+    full = lambda i: 0 <= i < len(number) and words.flags[number[i]] & 1
+    h = np.array([words.hashes[i] for i in number], dtype=np.uint64)
     out = []
-    for kind, s, e in spans:
+    for kind, s, e in found:
         left, right = bisect_right(ends, s), bisect_left(starts, e)
-        one = plain(left - 1) if left else ""
-        two = plain(left - 2) if left > 1 else ""
-        after = plain(right) if right < len(words) else ""
-        patterns = ([_hash(f"{two} {one} _")] if one and two else []) + ([_hash(f"{one} _ {after}")] if one and after else [])
-        out.append({"kind": kind, "start": s, "end": e, "value": _hash(text[s:e].lower()), "patterns": patterns})
+        patterns = []
+        if full(left - 1) and full(left - 2):
+            patterns.append(int(_before(h[left - 2 : left - 1], h[left - 1 : left])[0]))
+        if full(left - 1) and full(right):
+            patterns.append(int(_around(h[left - 1 : left], h[right : right + 1])[0]))
+        out.append({"kind": kind, "value": _signed(_value(raw_words(text[s:e]))), "patterns": list(map(_signed, patterns))})
     return out
 
 
+def _units(numbers: np.ndarray, words: Words, flags: np.ndarray) -> dict[int, int]:
+    """First and last word of the instances of several words: runs of digit groups, and spelled addresses."""
+    out: dict[int, int] = {}
+    joins = np.flatnonzero((flags[:-1] & 4 != 0) & (flags[1:] & 8 != 0))  # word i and the next are of one run
+    for run in np.split(joins, np.flatnonzero(np.diff(joins) != 1) + 1) if len(joins) else ():
+        if len(run) < RUN:
+            out[int(run[0])] = int(run[-1]) + 1
+    word = lambda i: words.plain[numbers[i]] if i < len(numbers) else b""
+    at = [n for n, w in enumerate(words.plain) if w == b"at"]
+    for i in np.flatnonzero(np.isin(numbers, at)).tolist() if at else ():
+        end = i + 1
+        while end + 2 < i + RUN and word(end + 1) == b"dot" and word(end) and word(end + 2):
+            end += 2
+        if i and word(i - 1) and (end > i + 1 or b"." in word(i + 1)):
+            out[i - 1] = end
+    return out
+
+
+def slots(texts: list[str], patterns: np.ndarray | None, values: np.ndarray | None) -> Iterator[tuple[int, int, int, int, list[int]]]:
+    """(text, start, end, value, patterns) of what has one of the patterns or values (sorted); of everything where those are None.
+
+    What overlaps a seed is left out."""
+    words, blank = Words(), [b"", b""]
+    raws, first = [b"", b""], []
+    for text in texts:
+        first.append(len(raws))
+        raws += raw_words(text) + blank
+    numbers = np.fromiter(map(words.__getitem__, raws), dtype=np.int64, count=len(raws))
+    flags = np.array(words.flags, dtype=np.int64)[numbers]
+    h = np.array(words.hashes, dtype=np.uint64)[numbers]
+    last, value, slot = np.arange(len(h)), h.copy(), flags & 16 != 0
+    for i, j in sorted(_units(numbers, words, flags).items()):
+        if slot[i]:
+            last[i], value[i] = j, _value([words.plain[n] for n in numbers[i : j + 1]])
+            slot[i + 1 : j + 1] = False
+    at = np.flatnonzero(slot)
+    full, end = flags & 1 != 0, last[at] + 1
+    has1, has2 = full[at - 1] & full[at - 2], full[at - 1] & full[end]
+    p1, p2 = _before(h[at - 2], h[at - 1]).view(np.int64), _around(h[at - 1], h[end]).view(np.int64)
+    v = value[at].view(np.int64)
+
+    def among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+        return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), dtype=bool)
+
+    hit = np.ones(len(at), dtype=bool) if patterns is None else (has1 & among(p1, patterns)) | (has2 & among(p2, patterns)) | among(v, values)
+    hits = np.flatnonzero(hit)
+    owner = np.searchsorted(first, at[hits], side="right") - 1
+    seen, places, taken = -1, [], []
+    for n, d in zip(hits.tolist(), owner.tolist()):
+        text = texts[d]
+        if d != seen:
+            seen, places, taken = d, [(m.start(), m.end()) for m in WORD.finditer(text)], seeds(text)
+        (s, e), (s2, e2) = places[at[n] - first[d]], places[last[at[n]] - first[d]]
+        s += len(text[s:e]) - len(text[s:e].lstrip(EDGES))
+        e = e2 - (len(text[s2:e2]) - len(text[s2:e2].rstrip(EDGES)))
+        if not any(a < e and s < b for _, a, b in taken):
+            yield d, s, e, int(v[n]), [int(p[n]) for p, has in ((p1, has1), (p2, has2)) if has[n]]
+
+
 _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_FOUND = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
+_FOUND = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,53 +233,88 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(2).to_pylist():
             spans = seeds(text)
             base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
-            found.append(occurrences(text, spans))
+            found.append(seed_patterns(text, spans))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, _SPANS), pa.array(found, _FOUND)], names=["doc_id", "h", "base", "found"])
 
 
+def _find_slots(patterns: np.ndarray | None, values: np.ndarray | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(slots(batch.column(2).to_pylist(), patterns, values))
+            rows = pa.array([x[0] for x in found], pa.int64())
+            columns = [pa.array([x[i] for x in found], t) for i, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()), (4, pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *columns], names=["doc_id", "h", "start", "end", "value", "patterns"])
+
+    return run
+
+
 def _text(spans: Column) -> Column:
     name = lambda k: F.element_at(F.array(*map(F.lit, KINDS)), k + 1)
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def _scanned(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    return stored(rows.mapInArrow(_scan, "doc_id long, h long, base array<struct<kind:int,start:int,end:int>>, found array<struct<kind:int,start:int,end:int,value:long,patterns:array<long>>>"))
+    return stored(_texts(docs).mapInArrow(_scan, "doc_id long, h long, base array<struct<kind:int,start:int,end:int>>, found array<struct<kind:int,value:long,patterns:array<long>>>"))
+
 
+def _occurrences(docs: DataFrame, patterns: DataFrame, values: DataFrame) -> DataFrame:
+    """Stored table of the slots that have one of the patterns (p) or hold one of the values (value)."""
+    schema = "doc_id long, h long, start int, end int, value long, patterns array<long>"
+    if patterns.count() + values.count() <= BROADCAST_ROWS:
+        some = lambda df: np.sort(np.array([r[0] for r in df.collect()], dtype=np.int64))
+        return stored(_texts(docs).mapInArrow(_find_slots(some(patterns.select("p")), some(values.select("value"))), schema).distinct())
+    every = _texts(docs).mapInArrow(_find_slots(None, None), schema)
+    by_pattern = every.withColumn("p", F.explode("patterns")).join(patterns, "p", "left_semi").drop("p")
+    return stored(by_pattern.union(every.join(values, "value", "left_semi").select(*every.columns)).distinct())
 
-def discovered(scanned: DataFrame, rounds: int = ROUNDS, sure_pattern: float = SURE_PATTERN, sure_instance: float = SURE_INSTANCE) -> DataFrame:
+
+def discovered(docs: DataFrame, scanned: DataFrame, sure_pattern: float = SURE_PATTERN, sure_instance: float = SURE_INSTANCE) -> DataFrame:
     """Stored table (doc_id, h, extra): spans that the bootstrap adds to a document."""
-    each = scanned.select("doc_id", "h", F.explode("found").alias("o")).select("doc_id", "h", "o.*")
-    graph = stored(each.select(F.explode("patterns").alias("p"), "value", "kind").groupBy("p", "value").agg(F.max("kind").alias("kind")))
-    known = stored(graph.where("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("kind")))
-    sure = None
-    for _ in range(rounds):
-        marked = graph.select("p", "value").join(known, "value", "left")
-        counts = marked.groupBy("p").agg(F.count("*").alias("n"), *[F.sum((F.col("kind") == k).cast("int")).alias(f"n{k}") for k in range(len(KINDS))])
-        scored = counts.select("p", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), (F.col(f"n{k}") / (F.col("n") + 2)).alias("c")) for k in range(len(KINDS))])).alias("s"), "n")
-        # A pattern whose instances are all known can't discover anything.
-        sure = stored(scored.select("p", "n", "s.*").where(F.col("c") >= sure_pattern).select("p", "kind", "c"))
-        new = graph.where("kind IS NULL").select("p", "value").join(sure, "p").join(known, "value", "left_anti")
+    kinds = range(len(KINDS))
+    seeded = scanned.select(F.explode("found").alias("o")).select(F.explode_outer("o.patterns").alias("p"), "o.value", "o.kind")
+    graph = stored(seeded.groupBy("p", "value").agg(F.min("kind").alias("kind")))
+    known = stored(graph.groupBy("value").agg(F.min("kind").alias("kind")))
+    graph = graph.where("p IS NOT NULL").select("p", "value")
+    new, looked, found, sure = known.limit(0), None, [], None
+    while True:
+        # Patterns that may be sure and whose slots were not read yet.
+        edges = reduce(DataFrame.union, [graph] + [f.select(F.explode("patterns").alias("p"), "value") for f in found]).distinct()
+        counts = edges.join(known, "value").groupBy("p", "kind").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_KNOWN)
+        fresh = counts.select("p").distinct()
+        fresh = stored(fresh if looked is None else fresh.join(looked, "p", "left_anti"))
+        if fresh.isEmpty() and new.isEmpty():
+            break
+        looked = stored(fresh if looked is None else looked.union(fresh))
+        found.append(_occurrences(docs, fresh, new))
+        edges = reduce(DataFrame.union, [graph] + [f.select(F.explode("patterns").alias("p"), "value") for f in found]).distinct()
+        near = stored(edges.join(looked, "p", "left_semi").join(known, "value", "left"))
+        counts = near.groupBy("p").agg(F.count("*").alias("n"), *[F.sum((F.col("kind") == k).cast("int")).alias(f"n{k}") for k in kinds])
+        scored = counts.select("p", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), (F.col(f"n{k}") / (F.col("n") + 2)).alias("c")) for k in kinds])).alias("s"))
+        sure = stored(scored.select("p", "s.*").where(F.col("c") >= sure_pattern))
+        new = near.where("kind IS NULL").select("p", "value").join(sure, "p")
         new = new.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("c"))))).alias("c")).where(F.col("c") >= sure_instance)
         new = stored(new.groupBy("value").agg(F.max_by("kind", F.struct(F.col("c"), -F.col("kind"))).alias("kind")))
-        if new.isEmpty():
-            break
         known = stored(known.union(new))
     # An occurrence becomes a span where one of its own patterns is sure of its kind.
-    near = each.where("kind IS NULL").select("doc_id", "h", "start", "end", "value", F.explode("patterns").alias("p")).join(sure, "p").join(known, ["value", "kind"])
+    none = "doc_id long, h long, extra array<struct<kind:int,start:int,end:int>>"
+    if not found:
+        return stored(docs.sparkSession.createDataFrame([], none))
+    near = reduce(DataFrame.union, found).select("doc_id", "h", "start", "end", "value", F.explode("patterns").alias("p")).join(sure, "p").join(known, ["value", "kind"])
     extra = near.select("doc_id", "h", "kind", "start", "end").distinct()
-    out = stored(extra.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("extra")))
-    discard(graph)
-    return out
+    return stored(extra.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("extra")))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every input row."""
     scanned = _scanned(docs)
-    extra = discovered(scanned)
-    both = scanned.select("doc_id", "h", "base").join(small_side(extra, 4), ["doc_id", "h"], "left")
+    extra = discovered(docs, scanned).withColumnsRenamed({"doc_id": "x_id", "h": "x_h"})
+    both = scanned.select("doc_id", "h", "base").join(small_side(extra, 4), F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("h") == F.col("x_h")), "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)"))))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return both.select("doc_id", *map(count, range(len(KINDS))), F.sha2(_text(F.col("base")), 256).alias("base_sha256"), _text(spans).alias("spans"))
@@ -215,10 +348,10 @@ def _mask(place: int):
 def redact(docs: DataFrame) -> DataFrame:
     """The input's rows and columns, with personal data in `text` replaced by <EMAIL>, <IP>, <CARD> or <PHONE>."""
     scanned = _scanned(docs)
-    extra = discovered(scanned)
+    extra = discovered(docs, scanned)
     discard(scanned)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    same = (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("h"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("h"))
     numbered = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     joined = rows.join(small_side(extra, 4), same, "left").select(*[F.col("row")[c].alias(n) for c, n in numbered.items()], "extra")
     return joined.mapInArrow(_mask(docs.columns.index("text")), docs.withColumnsRenamed(numbered).schema).toDF(*docs.columns)

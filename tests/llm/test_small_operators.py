@@ -120,6 +120,33 @@ def test_patterns_of_seeds_discover_unseen_identifiers(spark):
     assert masked[100] == "please mail to <EMAIL> for more" and masked[101] == rows[-1][1]
 
 
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_whatever_fills_a_sure_slot_is_found(spark, monkeypatch, most):
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", most)
+    rows = [(i, f"please mail to user{i}@host.example for more") for i in range(12)]
+    rows += [(20 + i, f"please phone me on +44 20 7946 {1000 + i} before noon") for i in range(12)]
+    unseen = [("please mail to jane(at)host.example for more", "email", "jane(at)host.example"), ("please mail to jane at host dot example for more", "email", "jane at host dot example")]
+    unseen += [("please phone me on 020 7946 0958 before noon", "phone", "020 7946 0958"), ("please phone me on 4711 before noon", "phone", "4711")]
+    rows += [(100 + i, t) for i, (t, _, _) in enumerate(unseen)] + [(None, unseen[0][0]), (200, "call 020 7946 0958 or jane at host dot example")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, rows)).collect()}
+    for i, (t, kind, x) in enumerate(unseen):
+        assert got[100 + i] == f"{kind}:{t.index(x)}:{t.index(x) + len(x)}"
+    assert got[None] == got[100] and got[200] == ""
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows)).collect()}
+    assert masked[None] == "please mail to <EMAIL> for more" and masked[102] == "please phone me on <PHONE> before noon"
+
+
+def test_chains_of_patterns_are_followed_to_their_end(spark):
+    # The frame of a link is sure only once the two ids of the link before are known: 10 / 14 of its instances, else 8 / 14.
+    rows, want = [], {}
+    for k in range(6):
+        mails, before = [f"u{i}@host.example" for i in range(8 if k else 12)], [f"id{k - 1}-55500{j}" for j in range(2 if k else 0)]
+        for j, x in enumerate(mails + before + [f"id{k}-55500{j}" for j in range(2)]):
+            rows.append((100 * k + j, f"p{k} q{k} {x} r{k}"))
+            want[100 * k + j] = f"email:6:{6 + len(x)}"
+    assert {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, rows)).collect()} == want
+
+
 # --- exact search
 
 
