@@ -31,15 +31,24 @@ from galesol.llm.common import discard, prepare, small_side, stored
 from galesol.llm.components import connected_components
 from galesol.llm.shingles import shingle_set
 
-#: Signature coordinates, and how many make a band. A pair at Jaccard 0.85 shares no
-#: band with probability below 4e-5; one at 0.5 shares one with probability 0.12.
-COORDINATES, BAND = 256, 8
+#: Signature coordinates, how many make a band at most, and the probability that a pair right at the share may share no band.
+COORDINATES, BAND, MISS = 256, 8, 1e-4
 #: Shingles worked on at a time, so that a chunk stays in the processor's cache.
 CHUNK = 1 << 14
 #: Members and shingles that one block of a large cluster aims at.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 500_000
 
 
+def miss(share: int, band: int, coordinates: int = COORDINATES) -> float:
+    """Probability that a pair at Jaccard share / 100 shares no band."""
+    return (1 - (share / 100) ** band) ** (coordinates // band)
+
+
+def band_for(share: int, coordinates: int = COORDINATES) -> int:
+    """The longest band that misses few enough pairs at the share: 8 for 85 (4e-5), 6 for 80 (3e-6), 5 for 75 (1e-6) and for 70 (8e-5)."""
+    return next((b for b in range(BAND, 1, -1) if miss(share, b, coordinates) <= MISS), 1)
+
+
 def _permute32(x: np.ndarray, first: int, second: int) -> np.ndarray:
     """A bijection of the 32-bit integers, chosen by two odd multipliers."""
     x = x * np.uint32(first)
@@ -69,10 +78,10 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
 
 
 def band_keys(signature: np.ndarray, band: int = BAND) -> list[list[int]]:
-    """Signed 64-bit bucket keys, one per band, that also hold the band's number."""
+    """Signed 64-bit bucket keys, one per whole band, that also hold the band's number."""
     digest = xxhash.xxh3_64_intdigest
     flat = np.ascontiguousarray(signature)
-    return [[digest(row[i : i + band].tobytes(), seed=i) - (1 << 63) for i in range(0, len(row), band)] for row in flat]
+    return [[digest(row[i : i + band].tobytes(), seed=i) - (1 << 63) for i in range(0, len(row) - band + 1, band)] for row in flat]
 
 
 def _describe(batches: Iterator[pa.RecordBatch], coordinates: int = COORDINATES, band: int = BAND) -> Iterator[pa.RecordBatch]:
@@ -145,15 +154,16 @@ def _confirm(share: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, share: int = 80, coordinates: int = COORDINATES, band: int = BAND) -> DataFrame:
+def near_duplicates(docs: DataFrame, share: int = 80, coordinates: int = COORDINATES, band: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every input row; links need 100 * intersection >= share * union.
 
     component_id is the smallest doc_id that links reach, itself included."""
     return _verdict(docs, share, coordinates, band).drop("h")
 
 
-def _verdict(docs: DataFrame, share: int, coordinates: int = COORDINATES, band: int = BAND) -> DataFrame:
+def _verdict(docs: DataFrame, share: int, coordinates: int = COORDINATES, band: int | None = None) -> DataFrame:
     """As near_duplicates, with the hash of each row's text (h)."""
+    band = band or band_for(share, coordinates)
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
     described = stored(texts.mapInArrow(lambda it: _describe(it, coordinates, band), "doc_id long, h long, n_shingles long, c1 long, c2 long, bands array<long>"))

@@ -393,6 +393,27 @@ def test_signatures_estimate_similarity():
     assert abs((a == b).mean() - 1 / 3) < 0.08
 
 
+@pytest.mark.parametrize("share", [70, 75, 80, 85])
+def test_pairs_at_the_share_meet_in_a_band(share):
+    rng = np.random.default_rng(share)
+    band, sets = minhash.band_for(share), []
+    assert minhash.miss(share, band) <= 1e-4
+    for _ in range(2000):
+        both, one = share * 2, 100 - share
+        x = rng.integers(0, 2**63, both + 2 * one).astype(np.uint64)
+        sets += [np.sort(x[: both + one]), np.sort(np.r_[x[:both], x[both + one :]])]
+    keys = minhash.band_keys(minhash.signatures(sets), band)
+    assert sum(not set(a) & set(b) for a, b in zip(keys[::2], keys[1::2])) <= 1
+
+
+def test_the_default_band_follows_the_share(spark, monkeypatch):
+    seen, own = [], minhash._describe
+    monkeypatch.setattr(minhash, "_describe", lambda batches, coordinates, band: seen.append(band) or own(batches, coordinates, band))
+    monkeypatch.setattr(minhash, "band_for", lambda share, coordinates: seen.append(share) or 6)
+    minhash.keep_one_each(frame(spark, [(1, "a b c d e f")])).count()
+    assert seen[0] == 80
+
+
 # --- pieces
 
 
