@@ -1,7 +1,8 @@
 """Quality classifier: regularised quadratic discriminant over transformed document statistics.
 
-Fitting is one Spark aggregation over all labelled rows: per class a count, the
-sums and the cross products of the features. The driver turns those few hundred
+The features of every row are stored once, beside the row. Fitting is one Spark
+aggregation over all labelled rows: per class a count, the sums and the cross
+products of the features. The driver turns those few hundred
 numbers into shrinkage covariances and their Cholesky factors, which are cached
 in a model. Scoring is a projection: the two Mahalanobis distances come from
 forward substitution with the cached factors, and the score is the logistic of
@@ -21,6 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from galesol.llm import textstats as S
+from galesol.llm.common import prepare, stored
 
 #: Weight of the pooled, and of the spherical part, in each class covariance.
 POOLED, SPHERE = 0.10, 0.02
@@ -122,20 +124,26 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
-    """Fit on every labelled document whose fold is not 0."""
+def described(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Stored table (row, x): the input's rows (all or some of their columns) as structs, so that no column name can clash, each with its features.
+
+    Features are computed here once; fit and scores read them."""
+    prepare(docs.sparkSession)
+    return stored(docs.select(F.struct(*(columns or docs.columns)).alias("row"), features(F.col("text")).alias("x")))
+
+
+def train(rows: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+    """Fit on every labelled document of a described() table whose fold is not 0; texts take no part in the join."""
     usable = labels.where((fold(F.col("doc_id")) != 0) & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("label"))
-    joined = docs.select("doc_id", "text").join(usable, "doc_id")
-    return fit(joined.select("label", features(F.col("text")).alias("x")))
+    return fit(rows.select("row.doc_id", "x").join(usable, "doc_id").select("label", "x"))
 
 
-def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every input row."""
-    scored = docs.select("doc_id", features(F.col("text")).alias("x"))
-    return scored.select("doc_id", (F.coalesce(fold(F.col("doc_id")), F.lit(1)) == 0).alias("held_out"), model.score(F.col("x")).alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def score_documents(rows: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of a described() table. An empty table gives an empty result."""
+    scored = rows.select("row.doc_id", (F.coalesce(fold(F.col("row.doc_id")), F.lit(1)) == 0).alias("held_out"), model.score(F.col("x")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The input's rows whose score reaches the threshold, with the input's columns."""
-    # One expression: a filter over a projected array would be pushed below it and the features repeated at every use.
-    return docs.where(S.let(features(F.col("text")), model.score) >= threshold)
+def keep_good(rows: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """Those rows behind a described() table whose score reaches the threshold, with their own columns."""
+    return rows.where(model.score(F.col("x")) >= threshold).select("row.*")

@@ -52,9 +52,9 @@ def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_classifier.score_documents(docs, model)
+    rows = quality_classifier.described(documents(spark, sf_dir), ["doc_id"])
+    model = quality_classifier.train(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_classifier.score_documents(rows, model)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
