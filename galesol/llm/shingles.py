@@ -18,6 +18,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct numbers of `x`, sorted. Sorts in place, which is several times faster than np.unique's hash table."""
+    x.sort()
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of a text: A-Z lower-cased, words parted by ASCII white space.
 
@@ -34,7 +40,7 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     total = np.zeros(n, dtype=np.uint64)
     for k in range(size):
         total += h[k : k + n] * _PLACES[k]
-    return np.unique(mix64(total))
+    return distinct(mix64(total))
 
 
 BASE = 0x9E3779B97F4A7C15 | 1
