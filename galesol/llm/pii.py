@@ -1,6 +1,7 @@
 """Personal data: fixed patterns as seeds, then bootstrapped contextual extraction.
 
-Seeds are the matches of four kinds (email, ip, card, phone). The words around
+Seeds are the matches of four base kinds (email, ip, card, phone) and secrets: hexadecimal
+strings of 32 characters or more. The words around
 each seed are its lexical patterns: the two words before it, and the word on
 either side. A pattern has as instances whatever stands in its slot: a word that
 holds a letter or digit, a run of 2 to `RUN` digit groups, or an address spelled
@@ -10,10 +11,11 @@ in rounds:
     confidence(pattern, kind)  = known instances of the kind / (all instances + 2)
     confidence(instance, kind) = 1 - product over its sure patterns of (1 - confidence)
 
-A pattern can be sure only with `LEAST_KNOWN` known instances; the texts are read
-for the slots of such patterns and for known instances elsewhere. Instances that
+A pattern can be sure only with `LEAST_KNOWN` known instances. The texts are read
+for the slots of such patterns, and a task stops with one as soon as it has met more
+instances than it could be sure with; so plain phrases cost nothing. Instances that
 reach the threshold count as known in the next round, until a round brings no new
-pattern and no new instance, and every occurrence of them next to a sure pattern
+pattern and no new instance; then every occurrence of them next to a sure pattern
 becomes a span of that kind. Spans of the seeds always stay.
 
 Null text is an empty text. Rows that repeat a doc_id are told apart by a hash of
@@ -26,7 +28,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -38,13 +39,15 @@ from galesol.llm.common import BROADCAST_ROWS, discard, prepare, small_side, sto
 from galesol.llm.shingles import mix64
 
 #: Kinds in their order, and the characters of an email's local part.
-KINDS = ("email", "ip", "card", "phone")
+BASE = ("email", "ip", "card", "phone")
+KINDS = (*BASE, "secret")
 LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+SECRET = re.compile(r"(?<![0-9A-Za-z])(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}(?![0-9A-Za-z])")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?\"'()[]*#$%&"
 
@@ -89,7 +92,7 @@ def luhn(digits: str) -> bool:
 
 
 def seeds(text: str) -> list[Span]:
-    """(kind number, start, end) of the fixed patterns, by kind and start."""
+    """(kind number, start, end) of the seeds, by kind and start."""
     out = [(0, s, e) for s, e in emails(text)] if "@" in text else []
     if not DIGIT.search(text):
         return out
@@ -100,7 +103,7 @@ def seeds(text: str) -> list[Span]:
             out.append((2, m.start(), m.end()))
     if "+" in text:
         out += [(3, m.start(), m.end()) for m in PHONE.finditer(text) if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
-    return out
+    return out + [(4, m.start(), m.end()) for m in SECRET.finditer(text)]
 
 
 class Words(dict):
@@ -182,45 +185,65 @@ def _units(numbers: np.ndarray, words: Words, flags: np.ndarray) -> dict[int, in
     return out
 
 
-def slots(texts: list[str], patterns: np.ndarray | None, values: np.ndarray | None) -> Iterator[tuple[int, int, int, int, list[int]]]:
-    """(text, start, end, value, patterns) of what has one of the patterns or values (sorted); of everything where those are None.
-
-    What overlaps a seed is left out."""
-    words, blank = Words(), [b"", b""]
-    raws, first = [b"", b""], []
-    for text in texts:
-        first.append(len(raws))
-        raws += raw_words(text) + blank
-    numbers = np.fromiter(map(words.__getitem__, raws), dtype=np.int64, count=len(raws))
-    flags = np.array(words.flags, dtype=np.int64)[numbers]
-    h = np.array(words.hashes, dtype=np.uint64)[numbers]
-    last, value, slot = np.arange(len(h)), h.copy(), flags & 16 != 0
-    for i, j in sorted(_units(numbers, words, flags).items()):
-        if slot[i]:
-            last[i], value[i] = j, _value([words.plain[n] for n in numbers[i : j + 1]])
-            slot[i + 1 : j + 1] = False
-    at = np.flatnonzero(slot)
-    full, end = flags & 1 != 0, last[at] + 1
-    has1, has2 = full[at - 1] & full[at - 2], full[at - 1] & full[end]
-    p1, p2 = _before(h[at - 2], h[at - 1]).view(np.int64), _around(h[at - 1], h[end]).view(np.int64)
-    v = value[at].view(np.int64)
-
-    def among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
-        return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), dtype=bool)
-
-    hit = np.ones(len(at), dtype=bool) if patterns is None else (has1 & among(p1, patterns)) | (has2 & among(p2, patterns)) | among(v, values)
-    hits = np.flatnonzero(hit)
-    owner = np.searchsorted(first, at[hits], side="right") - 1
-    seen, places, taken = -1, [], []
-    for n, d in zip(hits.tolist(), owner.tolist()):
-        text = texts[d]
-        if d != seen:
-            seen, places, taken = d, [(m.start(), m.end()) for m in WORD.finditer(text)], seeds(text)
-        (s, e), (s2, e2) = places[at[n] - first[d]], places[last[at[n]] - first[d]]
-        s += len(text[s:e]) - len(text[s:e].lstrip(EDGES))
-        e = e2 - (len(text[s2:e2]) - len(text[s2:e2].rstrip(EDGES)))
-        if not any(a < e and s < b for _, a, b in taken):
-            yield d, s, e, int(v[n]), [int(p[n]) for p, has in ((p1, has1), (p2, has2)) if has[n]]
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), dtype=bool)
+
+
+class Slots:
+    """Slots of some texts that have one of the patterns or hold one of the values (sorted); all of them where those are None.
+
+    By slot: its text (owner), first and last word, value, and its two patterns (p) with whether it has them (has). What
+    overlaps a seed is left out."""
+
+    def __init__(self, texts: list[str], patterns: np.ndarray | None, values: np.ndarray | None):
+        self.texts, words, blank = texts, Words(), [b"", b""]
+        raws, first = [b"", b""], []
+        for text in texts:
+            first.append(len(raws))
+            raws += raw_words(text) + blank
+        numbers = np.fromiter(map(words.__getitem__, raws), dtype=np.int64, count=len(raws))
+        flags = np.array(words.flags, dtype=np.int64)[numbers]
+        h = np.array(words.hashes, dtype=np.uint64)[numbers]
+        last, value, slot = np.arange(len(h)), h.copy(), flags & 16 != 0
+        for i, j in sorted(_units(numbers, words, flags).items()):
+            if slot[i]:
+                last[i], value[i] = j, _value([words.plain[n] for n in numbers[i : j + 1]])
+                slot[i + 1 : j + 1] = False
+        at = np.flatnonzero(slot)
+        full, end = flags & 1 != 0, last[at] + 1
+        has = [full[at - 1] & full[at - 2], full[at - 1] & full[end]]
+        p = [_before(h[at - 2], h[at - 1]).view(np.int64), _around(h[at - 1], h[end]).view(np.int64)]
+        v = value[at].view(np.int64)
+        hit = np.ones(len(at), dtype=bool) if patterns is None else (has[0] & _among(p[0], patterns)) | (has[1] & _among(p[1], patterns)) | _among(v, values)
+        hits = np.flatnonzero(hit)
+        owner = np.searchsorted(first, at[hits], side="right") - 1
+        start = at[hits] - np.array(first, dtype=np.int64)[owner]
+        self.owner, self.start, self.end = owner, start, start + (last - np.arange(len(h)))[at[hits]]
+        self.value, self.p, self.has = v[hits], [x[hits] for x in p], [x[hits] for x in has]
+        self.seen: tuple[int, list] = (-1, [])
+        free = np.ones(len(hits), dtype=bool)
+        taken: list[Span] = []
+        for n, d in enumerate(owner.tolist()):
+            if not n or d != owner[n - 1]:
+                taken = seeds(texts[d])
+            if taken:
+                s, e = self.place(n)
+                free[n] = not any(x < e and s < y for _, x, y in taken)
+        self.free = np.flatnonzero(free)
+
+    def place(self, n: int) -> tuple[int, int]:
+        """Start and end of slot `n` in its text, without the signs about it."""
+        d = int(self.owner[n])
+        if self.seen[0] != d:
+            self.seen = (d, [(m.start(), m.end()) for m in WORD.finditer(self.texts[d])])
+        (s, e), (s2, e2) = self.seen[1][self.start[n]], self.seen[1][self.end[n]]
+        text = self.texts[d]
+        return s + len(text[s:e]) - len(text[s:e].lstrip(EDGES)), e2 - (len(text[s2:e2]) - len(text[s2:e2].rstrip(EDGES)))
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Patterns and values of the slots, a slot with two patterns twice."""
+        both = [self.free[has[self.free]] for has in self.has]
+        return np.concatenate([p[i] for p, i in zip(self.p, both)]), np.concatenate([self.value[i] for i in both])
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -229,21 +252,57 @@ _FOUND = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.int64()), ("patt
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base, found = [], []
+        base, more, found = [], [], []
         for text in batch.column(2).to_pylist():
             spans = seeds(text)
-            base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
+            base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans if k < len(BASE)])
+            more.append([{"kind": k, "start": s, "end": e} for k, s, e in spans if k >= len(BASE)])
             found.append(seed_patterns(text, spans))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, _SPANS), pa.array(found, _FOUND)], names=["doc_id", "h", "base", "found"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, _SPANS), pa.array(more, _SPANS), pa.array(found, _FOUND)], names=["doc_id", "h", "base", "more", "found"])
+
+
+def _read(limits: dict[int, int], values: np.ndarray):
+    """Distinct (p, value) of the patterns' slots and of all slots that hold one of the values.
 
+    A pattern of which this task meets more instances than its limit is given as (p, null) instead."""
 
-def _find_slots(patterns: np.ndarray | None, values: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        live, met, other, broad = np.sort(np.array(list(limits), dtype=np.int64)), {p: set() for p in limits}, set(), []
         for batch in batches:
-            found = list(slots(batch.column(2).to_pylist(), patterns, values))
-            rows = pa.array([x[0] for x in found], pa.int64())
-            columns = [pa.array([x[i] for x in found], t) for i, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()), (4, pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *columns], names=["doc_id", "h", "start", "end", "value", "patterns"])
+            p, v = Slots(batch.column(2).to_pylist(), live, values).edges()
+            mine, known = _among(p, live), _among(v, values)
+            for x, y in set(zip(p[mine].tolist(), v[mine].tolist())):
+                if x in met:
+                    met[x].add(y)
+                    if len(met[x]) > limits[x]:
+                        broad.append(x)
+                        del met[x]
+            live = np.sort(np.array(list(met), dtype=np.int64))
+            other |= set(zip(p[known].tolist(), v[known].tolist()))
+        edges = [(x, y) for x, ys in met.items() for y in ys] + sorted(other)
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges] + broad, pa.int64()), pa.array([y for _, y in edges] + [None] * len(broad), pa.int64())], names=["p", "value"])
+
+    return run
+
+
+def _every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(p, value) of all slots."""
+    for batch in batches:
+        p, v = Slots(batch.column(2).to_pylist(), None, None).edges()
+        yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(v)], names=["p", "value"])
+
+
+def _places(patterns: np.ndarray | None, values: np.ndarray | None):
+    """Slots with one of the patterns, and with one of the values: (doc_id, h, start, end, value, patterns)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = Slots(batch.column(2).to_pylist(), patterns, np.empty(0, dtype=np.int64))
+            n = slots.free if values is None else slots.free[_among(slots.value[slots.free], values)]
+            places = [slots.place(i) for i in n.tolist()]
+            rows = pa.array(slots.owner[n])
+            found = [[int(p[i]) for p, has in zip(slots.p, slots.has) if has[i]] for i in n.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array([s for s, _ in places], pa.int32()), pa.array([e for _, e in places], pa.int32()), pa.array(slots.value[n]), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "h", "start", "end", "value", "patterns"])
 
     return run
 
@@ -260,40 +319,52 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _scanned(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
-    return stored(_texts(docs).mapInArrow(_scan, "doc_id long, h long, base array<struct<kind:int,start:int,end:int>>, found array<struct<kind:int,value:long,patterns:array<long>>>"))
+    return stored(_texts(docs).mapInArrow(_scan, "doc_id long, h long, base array<struct<kind:int,start:int,end:int>>, more array<struct<kind:int,start:int,end:int>>, found array<struct<kind:int,value:long,patterns:array<long>>>"))
 
 
-def _occurrences(docs: DataFrame, patterns: DataFrame, values: DataFrame) -> DataFrame:
-    """Stored table of the slots that have one of the patterns (p) or hold one of the values (value)."""
-    schema = "doc_id long, h long, start int, end int, value long, patterns array<long>"
+def _instances(docs: DataFrame, patterns: DataFrame, values: DataFrame) -> DataFrame:
+    """Stored table of distinct (p, value): instances of the patterns (p, most) with at most `most` of them, patterns of
+    the values, and (p, null) for patterns that have more."""
     if patterns.count() + values.count() <= BROADCAST_ROWS:
-        some = lambda df: np.sort(np.array([r[0] for r in df.collect()], dtype=np.int64))
-        return stored(_texts(docs).mapInArrow(_find_slots(some(patterns.select("p")), some(values.select("value"))), schema).distinct())
-    every = _texts(docs).mapInArrow(_find_slots(None, None), schema)
-    by_pattern = every.withColumn("p", F.explode("patterns")).join(patterns, "p", "left_semi").drop("p")
-    return stored(by_pattern.union(every.join(values, "value", "left_semi").select(*every.columns)).distinct())
+        limits = {r["p"]: r["most"] for r in patterns.collect()}
+        known = np.sort(np.array([r["value"] for r in values.collect()], dtype=np.int64))
+        met = stored(_texts(docs).mapInArrow(_read(limits, known), "p long, value long").distinct())
+    else:
+        every = stored(_texts(docs).mapInArrow(_every, "p long, value long").distinct())
+        met = stored(every.join(patterns, "p", "left_semi").union(every.join(values, "value", "left_semi").select("p", "value")).distinct())
+        discard(every)
+    # What no single task could tell.
+    counts = met.groupBy("p").agg(F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("over")).join(patterns, "p")
+    broad = counts.where((F.col("over") > 0) | (F.col("n") > F.col("most"))).select("p")
+    kept = met.where("value IS NOT NULL").join(broad.union(patterns.select("p")).groupBy("p").count().where("count > 1").select("p"), "p", "left_anti")
+    # Known values stay instances of broad patterns: these may be sure once more of their instances are known.
+    held = met.where("value IS NOT NULL").join(values, "value", "left_semi").select("p", "value")
+    out = stored(kept.union(held).union(broad.select("p", F.lit(None).cast("long").alias("value"))).distinct())
+    discard(met)
+    return out
 
 
 def discovered(docs: DataFrame, scanned: DataFrame, sure_pattern: float = SURE_PATTERN, sure_instance: float = SURE_INSTANCE) -> DataFrame:
-    """Stored table (doc_id, h, extra): spans that the bootstrap adds to a document."""
-    kinds = range(len(KINDS))
+    """Stored table (doc_id, h, extra): spans that the bootstrap adds to a document, seeds of no base kind among them."""
+    spark, kinds = docs.sparkSession, range(len(KINDS))
     seeded = scanned.select(F.explode("found").alias("o")).select(F.explode_outer("o.patterns").alias("p"), "o.value", "o.kind")
     graph = stored(seeded.groupBy("p", "value").agg(F.min("kind").alias("kind")))
     known = stored(graph.groupBy("value").agg(F.min("kind").alias("kind")))
-    graph = graph.where("p IS NOT NULL").select("p", "value")
-    new, looked, found, sure = known.limit(0), None, [], None
+    edges = stored(graph.where("p IS NOT NULL").select("p", "value"))
+    looked = spark.createDataFrame([], "p long, k long, broad boolean")
+    new, sure = known.limit(0), None
     while True:
-        # Patterns that may be sure and whose slots were not read yet.
-        edges = reduce(DataFrame.union, [graph] + [f.select(F.explode("patterns").alias("p"), "value") for f in found]).distinct()
-        counts = edges.join(known, "value").groupBy("p", "kind").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_KNOWN)
-        fresh = counts.select("p").distinct()
-        fresh = stored(fresh if looked is None else fresh.join(looked, "p", "left_anti"))
+        # Patterns that may be sure: never read, or read when fewer of their many instances were known.
+        counts = edges.join(known, "value").groupBy("p", "kind").agg(F.count("*").alias("n")).groupBy("p").agg(F.max("n").alias("k")).where(F.col("k") >= LEAST_KNOWN)
+        due = counts.join(looked.withColumnRenamed("k", "was"), "p", "left").where("was IS NULL OR broad AND k > was")
+        fresh = stored(due.select("p", "k", F.floor(F.col("k") / sure_pattern - 2 + 1e-9).alias("most")))
         if fresh.isEmpty() and new.isEmpty():
             break
-        looked = stored(fresh if looked is None else looked.union(fresh))
-        found.append(_occurrences(docs, fresh, new))
-        edges = reduce(DataFrame.union, [graph] + [f.select(F.explode("patterns").alias("p"), "value") for f in found]).distinct()
-        near = stored(edges.join(looked, "p", "left_semi").join(known, "value", "left"))
+        met = _instances(docs, fresh.select("p", "most"), new.select("value"))
+        marks = met.where("value IS NULL").select("p", F.lit(True).alias("broad"))
+        looked = stored(looked.join(fresh, "p", "left_anti").union(fresh.join(marks, "p", "left").select("p", "k", F.coalesce("broad", F.lit(False)))))
+        edges = stored(edges.union(met.where("value IS NOT NULL").select("p", "value")).distinct())
+        near = stored(edges.join(looked.where("NOT broad"), "p", "left_semi").join(known, "value", "left"))
         counts = near.groupBy("p").agg(F.count("*").alias("n"), *[F.sum((F.col("kind") == k).cast("int")).alias(f"n{k}") for k in kinds])
         scored = counts.select("p", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), (F.col(f"n{k}") / (F.col("n") + 2)).alias("c")) for k in kinds])).alias("s"))
         sure = stored(scored.select("p", "s.*").where(F.col("c") >= sure_pattern))
@@ -301,23 +372,33 @@ def discovered(docs: DataFrame, scanned: DataFrame, sure_pattern: float = SURE_P
         new = new.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("c"))))).alias("c")).where(F.col("c") >= sure_instance)
         new = stored(new.groupBy("value").agg(F.max_by("kind", F.struct(F.col("c"), -F.col("kind"))).alias("kind")))
         known = stored(known.union(new))
-    # An occurrence becomes a span where one of its own patterns is sure of its kind.
-    none = "doc_id long, h long, extra array<struct<kind:int,start:int,end:int>>"
-    if not found:
-        return stored(docs.sparkSession.createDataFrame([], none))
-    near = reduce(DataFrame.union, found).select("doc_id", "h", "start", "end", "value", F.explode("patterns").alias("p")).join(sure, "p").join(known, ["value", "kind"])
-    extra = near.select("doc_id", "h", "kind", "start", "end").distinct()
-    return stored(extra.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("extra")))
+    seeds_of = scanned.select("doc_id", "h", F.explode("more").alias("m")).select("doc_id", "h", "m.*")
+    extra = seeds_of if sure is None else seeds_of.union(_spans(docs, sure, known))
+    return stored(extra.distinct().groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("extra")))
+
+
+def _spans(docs: DataFrame, sure: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, h, kind, start, end) of the known instances that have a pattern sure of their kind."""
+    schema = "doc_id long, h long, start int, end int, value long, patterns array<long>"
+    wanted = known.join(sure.select("kind").distinct(), "kind", "left_semi")
+    some = lambda df, few: np.sort(np.array([r[0] for r in df.collect()], dtype=np.int64)) if few else None
+    few = sure.count() <= BROADCAST_ROWS
+    patterns = some(sure.select("p"), few)
+    if patterns is not None and not len(patterns):
+        return docs.sparkSession.createDataFrame([], "doc_id long, h long, kind int, start int, end int")
+    places = _texts(docs).mapInArrow(_places(patterns, some(wanted.select("value"), few and wanted.count() <= BROADCAST_ROWS)), schema)
+    near = places.withColumn("p", F.explode("patterns")).join(sure, "p").join(known, ["value", "kind"])
+    return near.select("doc_id", "h", "kind", "start", "end")
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every input row."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans for every input row; secrets and what the bootstrap adds are in the last two only."""
     scanned = _scanned(docs)
     extra = discovered(docs, scanned).withColumnsRenamed({"doc_id": "x_id", "h": "x_h"})
-    both = scanned.select("doc_id", "h", "base").join(small_side(extra, 4), F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("h") == F.col("x_h")), "left")
+    both = scanned.select("doc_id", "h", "base").join(extra, F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("h") == F.col("x_h")), "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)"))))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return both.select("doc_id", *map(count, range(len(KINDS))), F.sha2(_text(F.col("base")), 256).alias("base_sha256"), _text(spans).alias("spans"))
+    return both.select("doc_id", *map(count, range(len(BASE))), F.sha2(_text(F.col("base")), 256).alias("base_sha256"), _text(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"))
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -346,7 +427,7 @@ def _mask(place: int):
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The input's rows and columns, with personal data in `text` replaced by <EMAIL>, <IP>, <CARD> or <PHONE>."""
+    """The input's rows and columns, with personal data in `text` replaced by <EMAIL>, <IP>, <CARD>, <PHONE> or <SECRET>."""
     scanned = _scanned(docs)
     extra = discovered(docs, scanned)
     discard(scanned)

@@ -108,6 +108,7 @@ def test_seeds_match_the_plain_patterns(spark):
         want = base_spans(t)
         assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), t
         assert set(filter(None, want.split(","))) <= set(got[i]["spans"].split(","))
+        assert got[i]["n_spans"] >= sum(got[i][f"n_{k}"] for k in PATTERNS)
         assert sum(got[i][f"n_{k}"] for k in PATTERNS) == len(list(filter(None, want.split(","))))
 
 
@@ -147,6 +148,61 @@ def test_chains_of_patterns_are_followed_to_their_end(spark):
     assert {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, rows)).collect()} == want
 
 
+def test_secrets_teach_their_frame(spark):
+    """Held-out secrets of another form are found by the frame that hexadecimal ones taught; prose about them is not."""
+    rng = random.Random(4)
+    hexed = ["".join(rng.choice("0123456789abcdef") for _ in range(39)) + "a1" for _ in range(60)]
+    rows = [(i, f'see x{i} then token = "{x}" and go on') for i, x in enumerate(hexed)]
+    other = [f"Zq{i}-{rng.randrange(10**6)}_pass" for i in range(3)]
+    rows += [(100 + i, f'now a{i} token = "{x}" or so') for i, x in enumerate(other)] + [(200, "the token of thanks = none at all"), (201, "see x1 then plain words")]
+    got = {r["doc_id"]: r for r in pii.find_pii(frame(spark, rows)).collect()}
+    for i, t in rows:
+        found = re.search('"(.+)"', t)
+        assert got[i]["spans"] == (f"secret:{found.start(1)}:{found.end(1)}" if found else "") and got[i]["n_spans"] == bool(found)
+        assert got[i]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert pii.redact(frame(spark, rows)).where("text LIKE '%<SECRET>%'").count() == 63
+
+
+def test_scores_match_brute_force(spark):
+    """Patterns, instances and spans of random frames against the rounds in plain Python."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(260):
+        a, b = rng.choice("pqrs"), rng.choice("uvwx")
+        filler = f"m{rng.randrange(40)}@host.example" if rng.random() < {"p": 0.9, "q": 0.8, "r": 0.5, "s": 0.1}[a] else f"w{rng.randrange(25)}"
+        rows.append((i, f"{a}{a} {b}{b} {filler} {rng.choice('jk')}{rng.choice('jk')}"))
+    places = {}
+    for i, t in rows:
+        w = t.split()
+        places[i] = (w[2], [("before", w[0], w[1]), ("around", w[1], w[3])])
+    edges = {(p, v) for v, ps in places.values() for p in ps}
+    known = {v for v, _ in places.values() if "@" in v}
+    while True:
+        sure = {}
+        for p in {p for p, _ in edges}:
+            every = {v for q, v in edges if q == p}
+            c = len(every & known) / (len(every) + 2)
+            if len(every & known) >= pii.LEAST_KNOWN and c >= pii.SURE_PATTERN:
+                sure[p] = c
+        fresh = set()
+        for v in {v for _, v in edges} - known:
+            rest = 1.0
+            for p, c in sure.items():
+                rest *= 1 - c if (p, v) in edges else 1
+            if 1 - rest >= pii.SURE_INSTANCE:
+                fresh.add(v)
+        if not fresh:
+            break
+        known |= fresh
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, rows)).collect()}
+    added = 0
+    for i, (v, ps) in places.items():
+        hit = "@" in v or v in known and any(p in sure for p in ps)
+        added += hit and "@" not in v
+        assert got[i] == (f"email:6:{6 + len(v)}" if hit else "")
+    assert added
+
+
 # --- exact search
 
 
