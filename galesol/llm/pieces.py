@@ -2,12 +2,17 @@
 
 Encoding follows the merge (BPE) agenda of a SentencePiece model: of all adjacent
 pairs whose union is a piece, the best-scored (then leftmost) merges first. With
-dropout, a candidate taken from the agenda is skipped if a hash keyed by seed,
-variant, word, place and piece falls below the rate; a pair that a neighbour's merge makes
-anew is a new candidate. The same key gives the same segmentation everywhere;
-other seeds, and documents of another variant, give other ones. Rate 0 is the
+dropout, the n-th candidate taken from a word's agenda is skipped if a hash keyed by
+seed, document, place of the word in the document and n falls below the rate; a pair that
+a neighbour's merge makes anew is a new candidate. The same key gives the same
+segmentation everywhere; a word has another key at each of its places. Rate 0 is the
 model's own segmentation.
 
+What a word becomes depends only on which of its candidates are skipped. So each word has a tree:
+the root is the word with nothing skipped, a child is its parent with the n-th candidate skipped too. Whole batches of
+words walk down their trees together, a hash for each candidate on the way, and a node is
+worked out when its first word reaches it.
+
 Pieces hold no white-space mark but at their start, so a text is cut before marks, at
 line ends, which only byte pieces cover, and between a letter and punctuation that no
 piece joins to a letter; the words between are encoded one by one.
@@ -27,7 +32,7 @@ import re
 import string
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,25 +40,25 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from galesol.llm.common import per_worker, prepare
+from galesol.llm.shingles import mix64
 
 MARK = "▁"
-RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Words kept per variant by one worker, and the longest word that is kept.
-KNOWN_WORDS, KNOWN_LENGTH = 250_000, 32
+RATE, SEED = 0.1, 17
+#: Nodes that one worker keeps, words encoded at a time, and the longest word that has a tree.
+NODES, AT_A_TIME, KNOWN_LENGTH = 1_200_000, 1 << 16, 32
 _WORDS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _LETTER = re.compile(f"[{_LETTERS}]").match
 _FULL = (1 << 64) - 1
-_ODD, _SPREAD = 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
-#: Words up to this length keep their agenda as a plain list, which is faster there.
-SHORT = 32
+#: Odd multipliers of places and of candidates.
+_PLACE, _CANDIDATE = 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 _NONE = float("inf")
 
 
 class Codec:
     """Encoder and decoder of one SentencePiece BPE model."""
 
-    def __init__(self, model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, model_path: str, rate: float = RATE, seed: int = SEED):
         import sentencepiece
 
         m = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -61,148 +66,234 @@ class Codec:
         pieces = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         self.bytes_of = [b""] * len(pieces)
         self.byte_ids = [0] * 256
-        self.scores: dict[str, tuple[float, int]] = {}
+        self.rank: dict[str, float] = {}
+        self.number: dict[str, int] = {}
         for i, p in enumerate(pieces):
             if m.is_byte(i):
                 self.byte_ids[int(p[1:-1], 16)] = i
                 self.bytes_of[i] = bytes([int(p[1:-1], 16)])
             elif not (m.is_control(i) or m.is_unknown(i) or m.is_unused(i)):
                 assert MARK not in p[1:] or not p.strip(MARK), "a piece holds an inner mark"
-                self.scores[p] = (-m.get_score(i), i)
+                self.rank[p], self.number[p] = -m.get_score(i), i
                 self.bytes_of[i] = p.replace(MARK, " ").encode("utf-8")
         assert all(self.byte_ids), "the model must have byte pieces"
         # Signs that no piece joins to a letter before them: a cut between the two changes no merge.
-        joined = {y for p in self.scores for x, y in zip(p, p[1:]) if _LETTER(x)}
+        joined = {y for p in self.rank for x, y in zip(p, p[1:]) if _LETTER(x)}
         signs = re.escape("".join(c for c in string.punctuation if c not in joined))
         self.words = (re.compile(f"\n|{MARK}*[{_LETTERS}]++(?=[{signs}])|{MARK}*[^{MARK}\n]+|{MARK}+") if signs else _WORDS).findall
-        self.rank = {p: score for p, (score, _) in self.scores.items()}
-        self.number = {p: i for p, (_, i) in self.scores.items()}
-        self.limit, self.seed, self.variants = int(rate * 2**64), seed, variants
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
-
-    def merge(self, word: str, key: int) -> list[str]:
-        """Pieces of one word; `key` decides which candidates are skipped."""
-        return self.merge_short(word, key) if len(word) <= SHORT else self.merge_long(word, key)
-
-    def merge_short(self, word: str, key: int) -> list[str]:
-        rank, number, limit = self.rank.get, self.number, self.limit
+        self.limit, self.seed = min(int(rate * 2**64), _FULL), seed
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with two nodes: the mark as bytes, and a place for words without a tree."""
+        self.roots: dict[str, int] = {}
+        self.children: dict[tuple[int, int], int] = {}
+        self.ids = [np.array([self.byte_ids[b] for b in MARK.encode("utf-8")], dtype="<u4").tobytes(), b""]
+        self.path: list[tuple[str, tuple[int, ...]]] = [("", ()), ("", ())]
+        self.reach = np.zeros((1 << 12, 2), dtype=np.int64)  # candidates that may be skipped next: from, to
+
+    def merge_short(self, word: str, skips: Callable[[int], bool]) -> tuple[list[str], int]:
+        """Pieces of one word and the number of its candidates, those that `skips` tells being skipped; the agenda is a plain list."""
+        rank = self.rank.get
         parts = list(word)
-        start = list(range(len(parts)))
         agenda = [rank(x + y, _NONE) for x, y in zip(word, word[1:])]
+        n = 0
         while agenda:
             best = min(agenda)
             if best == _NONE:
                 break
             k = agenda.index(best)
-            both = parts[k] + parts[k + 1]
-            if limit and ((key ^ (start[k] << 44) ^ (number[both] * _ODD)) * _SPREAD) & _FULL < limit:
+            n += 1
+            if skips(n - 1):
                 agenda[k] = _NONE
                 continue
-            parts[k] = both
-            del parts[k + 1], start[k + 1], agenda[k]
+            parts[k] = both = parts[k] + parts[k + 1]
+            del parts[k + 1], agenda[k]
             if k < len(agenda):
                 agenda[k] = rank(both + parts[k + 1], _NONE)
             if k:
                 agenda[k - 1] = rank(parts[k - 1] + both, _NONE)
-        return parts
+        return parts, n
 
-    def merge_long(self, word: str, key: int) -> list[str]:
-        scores, limit = self.scores, self.limit
+    def merge_long(self, word: str, skips: Callable[[int], bool]) -> tuple[list[str], int]:
+        """As merge_short; the agenda is a heap."""
+        rank = self.rank.get
         parts: list[str | None] = list(word)
-        n = len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            found = scores.get(word[i : i + 2])
-            if found:
-                agenda.append((found[0], i, i + 1, 2, found[1]))
+        size, n = len(parts), 0
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        agenda = [(score, i, i + 1, 2) for i in range(size - 1) if (score := rank(word[i : i + 2])) is not None]
         heapq.heapify(agenda)
         while agenda:
-            _, i, j, size, piece = heapq.heappop(agenda)
+            _, i, j, length = heapq.heappop(agenda)
             left, right = parts[i], parts[j]
-            if left is None or right is None or after[i] != j or len(left) + len(right) != size:
+            if left is None or right is None or after[i] != j or len(left) + len(right) != length:
                 continue
-            if limit and ((key ^ (i << 44) ^ (piece * _ODD)) * _SPREAD) & _FULL < limit:
+            n += 1
+            if skips(n - 1):
                 continue
             parts[i] = left = left + right
             parts[j] = None
             far = after[j]
             after[i] = far
-            if far < n:
+            if far < size:
                 before[far] = i
-                found = scores.get(left + parts[far])
-                if found:
-                    heapq.heappush(agenda, (found[0], i, far, size + len(parts[far]), found[1]))
+                if (score := rank(left + parts[far])) is not None:
+                    heapq.heappush(agenda, (score, i, far, length + len(parts[far])))
             near = before[i]
-            if near >= 0:
-                found = scores.get(parts[near] + left)
-                if found:
-                    heapq.heappush(agenda, (found[0], near, i, len(parts[near]) + size, found[1]))
-        return [p for p in parts if p is not None]
-
-    def word_ids(self, word: str, variant: int) -> bytes:
-        key = xxhash.xxh3_64_intdigest(word.encode("utf-8"), seed=(self.seed * self.variants + variant) & _FULL) if self.limit else 0
-        number = self.number
+            if near >= 0 and (score := rank(parts[near] + left)) is not None:
+                heapq.heappush(agenda, (score, near, i, len(parts[near]) + length))
+        return [p for p in parts if p is not None], n
+
+    def packed(self, parts: list[str]) -> bytes:
         ids: list[int] = []
-        for p in self.merge(word, key):
-            if p in number:
-                ids.append(number[p])
+        for p in parts:
+            if p in self.number:
+                ids.append(self.number[p])
             else:
                 ids += [self.byte_ids[b] for b in p.encode("utf-8")]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str, variant: int = 0) -> bytes:
-        """Ids of a text as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        known = self.known[variant]
-        out: list[bytes] = []
-        literal = np.array([self.byte_ids[b] for b in MARK.encode("utf-8")], dtype="<u4").tobytes()
+    def node(self, word: str, skipped: tuple[int, ...]) -> int:
+        parts, n = self.merge_short(word, skipped.__contains__)
+        number = len(self.ids)
+        self.ids.append(self.packed(parts))
+        self.path.append((word, skipped))
+        if number == len(self.reach):
+            self.reach = np.concatenate([self.reach, np.zeros_like(self.reach)])
+        self.reach[number] = skipped[-1] + 1 if skipped else 0, n if self.limit else 0
+        return number
+
+    def child(self, code: int) -> int:
+        """Node of a parent and the candidate that is skipped after its own: parent << 8 | candidate."""
+        key = (code >> 8, code & 255)
+        found = self.children.get(key)
+        if found is None:
+            word, skipped = self.path[key[0]]
+            found = self.children[key] = self.node(word, (*skipped, key[1]))
+        return found
+
+    def skipped(self, key: int, n: int) -> bool:
+        x = (key + (n + 1) * _CANDIDATE) & _FULL
+        return int(mix64(np.array([x], dtype=np.uint64))[0]) < self.limit
+
+    def walk(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The nodes that words with these keys reach from the nodes `at`."""
+        at, moving = at.copy(), np.arange(len(at))
+        while len(moving):
+            n, end = self.reach[at[moving]].T
+            moved, codes = [], []
+            left = n < end
+            moving, n, end = moving[left], n[left], end[left]
+            while len(moving):
+                hit = mix64(keys[moving] + (n + 1).astype(np.uint64) * np.uint64(_CANDIDATE)) < np.uint64(self.limit)
+                moved.append(moving[hit]), codes.append(at[moving[hit]] << 8 | n[hit])
+                n += 1
+                left = ~hit & (n < end)
+                moving, n, end = moving[left], n[left], end[left]
+            if not moved:
+                break
+            moving, codes = np.concatenate(moved), np.concatenate(codes)
+            distinct, which = np.unique(codes, return_inverse=True)
+            at[moving] = np.array([self.child(c) for c in distinct.tolist()], dtype=np.int64)[which]
+        return at
+
+    def words_of(self, text: str) -> list[str]:
+        """Words of a text; an empty one stands for a mark in the text itself."""
+        out: list[str] = []
         for n, plain in enumerate(text.split(MARK)):
             marked = plain.replace(" ", MARK)
-            if n:
-                out.append(literal)
-            else:
-                marked = MARK + marked
-            for word in self.words(marked):
-                ids = known.get(word)
-                if ids is None:
-                    ids = self.word_ids(word, variant)
-                    if len(word) <= KNOWN_LENGTH:
-                        if len(known) >= KNOWN_WORDS:
-                            known.clear()
-                        known[word] = ids
-                out.append(ids)
-        return b"".join(out)
+            out += [""] + self.words(marked) if n else self.words(MARK + marked)
+        return out
+
+    def encode_words(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of each word, as little-endian 32-bit numbers."""
+        if len(self.roots) + len(self.children) > NODES:
+            self.forget()
+        roots, at, once, alone = self.roots, [], [], []
+        for i, word in enumerate(words):
+            found = roots.get(word)
+            if found is None:
+                if not word:
+                    found = 0
+                elif len(word) > KNOWN_LENGTH:
+                    found = 1
+                    alone.append(i)
+                else:  # most words come once: a tree begins with the second
+                    found, roots[word] = 1, -1
+                    once.append(i)
+            elif found < 0:
+                found = roots[word] = self.node(word, ())
+            at.append(found)
+        out = list(map(self.ids.__getitem__, self.walk(np.array(at, dtype=np.int64), keys).tolist()))
+        if once:
+            n = np.arange(1, 65, dtype=np.uint64) * np.uint64(_CANDIDATE)
+            few = keys[once]
+            skips = np.packbits(mix64(few[:, None] + n) < np.uint64(self.limit), axis=1, bitorder="little").view("<u8").ravel().tolist()
+            for i, key, bits in zip(once, few.tolist(), skips):
+                out[i] = self.packed(self.merge_short(words[i], lambda n, bits=bits, key=key: bits >> n & 1 if n < 64 else bool(self.limit) and self.skipped(key, n))[0])
+        for i in alone:
+            key = int(keys[i])
+            out[i] = self.packed(self.merge_long(words[i], lambda n, key=key: bool(self.limit) and self.skipped(key, n))[0])
+        return out
+
+    def encode_batch(self, doc_ids: list[int | None], texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. A long text is encoded in runs of words."""
+        out: list[bytes] = []
+        held: list[str] = []
+        owner: list[tuple[int, int, int]] = []  # document key, first word's place, words
+        parts: list[list[bytes]] = [[] for _ in texts]
+        into: list[int] = []
+
+        def flush() -> None:
+            keys = [mix64(np.uint64(k) + np.arange(p, p + n, dtype=np.uint64) * np.uint64(_PLACE)) for k, p, n in owner]
+            ids, start = self.encode_words(held, np.concatenate(keys)), 0
+            for i, (_, _, n) in zip(into, owner):
+                parts[i].append(b"".join(ids[start : start + n]))
+                start += n
+            held.clear(), owner.clear(), into.clear()
+
+        for i, (doc_id, text) in enumerate(zip(doc_ids, texts)):
+            words = self.words_of(text) if text else []
+            key = xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=self.seed & _FULL)
+            for p in range(0, len(words), AT_A_TIME):
+                run = words[p : p + AT_A_TIME]
+                held += run
+                owner.append((key, p, len(run))), into.append(i)
+                if len(held) >= AT_A_TIME:
+                    flush()
+        if held:
+            flush()
+        out += [b"".join(p) for p in parts]
+        return out
+
+    def encode(self, text: str, doc_id: int | None = None) -> bytes:
+        return self.encode_batch([doc_id], [text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the mark that encoding puts first goes."""
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode("utf-8")
 
-    def variant(self, doc_id: int | None) -> int:
-        return xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=self.seed & _FULL) % self.variants
-
 
-def _codec(model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> Codec:
-    """The worker's codec: words that earlier tasks met stay known."""
-    return per_worker((model_path, rate, seed, variants), lambda: Codec(model_path, rate, seed, variants))
+def _codec(model_path: str, rate: float = RATE, seed: int = SEED) -> Codec:
+    """The worker's codec: nodes that earlier tasks worked out stay known."""
+    return per_worker((model_path, rate, seed), lambda: Codec(model_path, rate, seed))
 
 
-def _encode(model_path: str, rate: float, seed: int, variants: int):
+def _encode(model_path: str, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in batches:
-            codec = codec or _codec(model_path, rate, seed, variants)
-            ids = [np.frombuffer(codec.encode(t or "", codec.variant(d)), dtype="<u4").astype("i4") for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            codec = codec or _codec(model_path, rate, seed)
+            ids = [np.frombuffer(x, dtype="<u4").astype("i4") for x in codec.encode_batch(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return run
 
 
-def encode_documents(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id and ids (array<int>) of every input row."""
     prepare(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(model_path, rate, seed, variants), "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(model_path, rate, seed), "doc_id long, ids array<int>")
 
 
 def _decode(model_path: str):
@@ -221,14 +312,13 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decode(model_path), "doc_id long, text string")
 
 
-def _round_trip(model_path: str, rate: float, seed: int, variants: int):
+def _round_trip(model_path: str, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in batches:
-            codec = codec or _codec(model_path, rate, seed, variants)
+            codec = codec or _codec(model_path, rate, seed)
             n, crc, sha = [], [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = codec.encode(text or "", codec.variant(d))
+            for ids in codec.encode_batch(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 n.append(len(ids) // 4), crc.append(zlib.crc32(ids))
                 sha.append(hashlib.sha256(codec.decode(np.frombuffer(ids, dtype="<u4").tolist()).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(sha)], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256"])
@@ -236,7 +326,7 @@ def _round_trip(model_path: str, rate: float, seed: int, variants: int):
     return run
 
 
-def round_trip(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, n_ids, ids_crc32, and the hash of the text that the ids decode to, in one pass."""
     prepare(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_round_trip(model_path, rate, seed, variants), "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_round_trip(model_path, rate, seed), "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string")

@@ -590,11 +590,55 @@ def test_dropout_varies_and_decodes(spark, model_path, words):
         assert r["decoded_sha256"] == hashlib.sha256((dict(rows)[r["doc_id"]] or "").encode()).hexdigest()
 
 
+def plain_dropout(codec, word, skips):
+    """Merge-dropout as it is defined: best pair, leftmost first; a skipped pair rests until a neighbour's merge makes it anew."""
+    parts, resting, n = list(word), set(), 0
+    ids = list(range(len(parts)))
+    fresh = len(parts)
+    while True:
+        pairs = [(codec.rank[x + y], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in codec.rank and (ids[k], ids[k + 1]) not in resting]
+        if not pairs:
+            return parts
+        _, k = min(pairs)
+        n += 1
+        if skips(n - 1):
+            resting.add((ids[k], ids[k + 1]))
+            continue
+        parts[k : k + 2], ids[k : k + 2] = [parts[k] + parts[k + 1]], [fresh]
+        fresh += 1
+
+
 def test_both_agendas_agree(model_path, words):
     codec = pieces.Codec(model_path, 0.2)
     for n, w in enumerate(words):
-        word, key = pieces.MARK + w * 3, n * 0x9E3779B97F4A7C15 & (1 << 64) - 1
-        assert codec.merge_short(word, key) == codec.merge_long(word, key)
+        word, skips = pieces.MARK + w * 3, lambda k, n=n: codec.skipped(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1, k)
+        assert codec.merge_short(word, skips) == codec.merge_long(word, skips)
+        assert codec.merge_short(word, skips)[0] == plain_dropout(codec, word, skips)
+
+
+def test_batches_match_the_plain_dropout(model_path, words, monkeypatch):
+    monkeypatch.setattr(pieces, "AT_A_TIME", 50)
+    codec = pieces.Codec(model_path, 0.3)
+    texts = TEXTS + [" ".join(words), "international " * 300]
+    for doc_id, (text, got) in enumerate(zip(texts, codec.encode_batch(list(range(len(texts))), texts))):
+        from_key = pieces.xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=codec.seed)
+        want = []
+        for place, word in enumerate(codec.words_of(text) if text else []):
+            key = int(pieces.mix64(np.array([(from_key + place * pieces._PLACE) & (1 << 64) - 1], dtype=np.uint64))[0])
+            want.append(codec.packed(plain_dropout(codec, word, lambda k, key=key: codec.skipped(key, k))) if word else codec.ids[0])
+        assert got == b"".join(want)
+    # One word at many places of one document has many forms.
+    forms = set(codec.encode_words(codec.words_of("x" + " international" * 400)[1:], pieces.mix64(np.arange(400, dtype=np.uint64))))
+    assert len(forms) > 20
+
+
+def test_share_of_skipped_candidates(model_path):
+    codec = pieces.Codec(model_path, 0.1)
+    keys = pieces.mix64(np.arange(20_000, dtype=np.uint64))
+    codec.encode_words([pieces.MARK + "the"] * 2, keys[:2])
+    root = codec.roots[pieces.MARK + "the"]
+    share = (codec.walk(np.full(len(keys), root), keys) == root).mean()
+    assert abs(share - 0.9 ** codec.reach[root][1]) < 0.02
 
 
 # --- repeats
