@@ -32,14 +32,14 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f"""
 
 
-#: Every row's integer vector, all pairs with the stated queries, five best of each.
+#: Every row's integer vector, the stated queries against all other rows, five best of each.
 _TOP_K = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, o.vec_id, list_sum(list_transform(list_zip(q.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q JOIN v o ON q.vec_id <> o.vec_id AND len(q.v) = len(o.v) WHERE q.vec_id % 50 = 0)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
-FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+s AS (SELECT q.r, q.vec_id AS query_id, o.vec_id, list_sum(list_transform(list_zip(q.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v o ON q.r <> o.r AND len(q.v) = len(o.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5"""
 
 #: A document's bucket has the fewest hash bits at which the bucket's bytes fit.
 _SHARDS = f"""

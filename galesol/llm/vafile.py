@@ -13,9 +13,9 @@ falling order of upper bounds here. Ties go to the smaller id and are read
 completely, since reading stops only below the k-th score.
 
 Vectors that are null, empty or hold null or non-finite components, and rows without an id, take
-no part; neither do vectors with a component beyond 2**18 in size, whose products
-would not fit a long. Vectors are compared with those of equal length only.
-Repeated ids are rows of their own; a query never meets rows of its own id. An
+no part. Vectors are compared with those of equal length only. Products too large for doubles
+are taken in 64-bit, and those too large for that in unbounded integers; a result above the largest long
+raises an error. Repeated ids are rows of their own: each query row has its own results, and meets every row but itself. An
 empty table, or one without queries, gives an empty result.
 """
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from galesol.llm.common import prepare, stored
 
@@ -32,14 +32,13 @@ SCALE = 256
 QUERY_ROWS, VECTOR_ROWS = 1024, 8192
 #: Cells per dimension, and rows read at a time before the bound is looked at again.
 CELLS, STEP = 16, 32
-LIMIT = float(1 << 18)
-RESULT = "query_id long, vec_id long, score long"
+RESULT = "query long, query_id long, vec_id long, score long"
 
 
-def to_integers(v: Column, scale: int = SCALE) -> Column:
-    """Integer components, or null if the vector takes no part."""
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LIMIT))
-    return F.when(v.isNotNull() & (F.size(v) > 0) & sound, F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("int")))
+def doubles(v: Column) -> Column:
+    """Components as doubles, or null if the vector takes no part."""
+    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return F.when(v.isNotNull() & (F.size(v) > 0) & sound, F.transform(v, lambda x: x.cast("double")))
 
 
 def cells(v: np.ndarray, n: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,52 +57,56 @@ def cells(v: np.ndarray, n: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact integer products of rows with a vector."""
-    if float(np.abs(v).max(initial=0)) * float(np.abs(q).max(initial=0)) * v.shape[1] < 2**53:
-        return (v.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return v.astype(np.int64) @ q.astype(np.int64)
+    """Exact integer products of rows with a vector; both hold whole numbers as doubles."""
+    most = float(np.abs(v).max(initial=0)) * float(np.abs(q).max(initial=0)) * v.shape[1]
+    if most < 2**53:
+        return (v @ q).astype(np.int64)
+    if most < 2**62 and max(np.abs(v).max(), np.abs(q).max()) < 2**62:
+        return v.astype(np.int64) @ q.astype(np.int64)
+    return np.array([sum(int(x) * int(y) for x, y in zip(row, q)) for row in v] + [None], dtype=object)[:-1]
 
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query_id, vec_id, score) of each query's k best in one block of vectors."""
+def search_block(queries: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(place of the query, vec_id, score) of each query's k best in one block of vectors; `queries` and `rows` number the rows."""
     code, low, high = cells(v)
     dims = np.arange(v.shape[1])
-    top, bottom = high[code, dims].astype(np.float64), low[code, dims].astype(np.float64)
-    plus, minus = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
+    top, bottom = high[code, dims], low[code, dims]
+    # Rounding of a bound: far below this share of its terms' sizes.
+    slack = np.abs(q) @ np.abs(v).max(axis=0) * (v.shape[1] * 1e-15) + 0.5
     out = []
     for at in range(0, len(q), 128):
-        bounds = plus[at : at + 128] @ top.T + minus[at : at + 128] @ bottom.T
-        # Where products pass 2**53 the bound is rounded: lift it by more than that error.
-        bounds += np.abs(bounds) * 1e-12 + 0.5
+        part = q[at : at + 128]
+        bounds = np.maximum(part, 0) @ top.T + np.minimum(part, 0) @ bottom.T + slack[at : at + 128, None]
         for i, bound in enumerate(bounds, at):
-            bound[ids == query_ids[i]] = -np.inf
-            read, scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+            bound[rows == queries[i]] = -np.inf
+            read, scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=object)
             want = max(STEP, 4 * k)
             while True:
                 if want < len(bound):
                     ahead = np.argpartition(-bound, want)[: want + 1]
                     ahead = ahead[np.argsort(-bound[ahead], kind="stable")]
-                    part, rest = ahead[:want], bound[ahead[want]]
+                    found, rest = ahead[:want], bound[ahead[want]]
                 else:
-                    part, rest = np.setdiff1d(np.flatnonzero(bound > -np.inf), read), -np.inf
-                part = np.setdiff1d(part, read)
-                part = part[bound[part] > -np.inf]
-                read = np.r_[read, part]
-                scores = np.r_[scores, products(v[part], q[i])]
-                if rest == -np.inf or len(scores) >= k and rest < np.partition(scores, len(scores) - k)[len(scores) - k]:
+                    found, rest = np.flatnonzero(bound > -np.inf), -np.inf
+                found = np.setdiff1d(found[bound[found] > -np.inf], read)
+                exact = products(v[found], q[i])
+                read, scores = np.r_[read, found], np.r_[scores, exact] if len(read) else exact
+                if rest == -np.inf or len(scores) >= k and rest < sorted(scores.tolist(), reverse=True)[k - 1]:
                     break
                 want *= 4
-            best = np.lexsort((ids[read], -scores))[:k]
-            out += [(int(query_ids[i]), int(ids[read[j]]), int(scores[j])) for j in best]
+            best = sorted(zip((-scores).tolist(), ids[read].tolist()))[:k]
+            out += [(i, vec, -score) for score, vec in best]
     return out
 
 
 def _search(k: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame([], columns=["query_id", "vec_id", "score"]).astype("int64")
-        found = search_block(left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+        whole = lambda side: np.floor(np.stack(side["v"].to_numpy()) * SCALE)
+        found = search_block(left["row"].to_numpy(), whole(left), right["row"].to_numpy(), right["vec_id"].to_numpy(), whole(right), k) if len(left) and len(right) else []
+        if any(abs(s) >= 1 << 63 for _, _, s in found):
+            raise OverflowError("a score does not fit a long")
+        place = [i for i, _, _ in found]
+        return pd.DataFrame({"query": left["row"].to_numpy()[place], "query_id": left["vec_id"].to_numpy()[place], "vec_id": [x for _, x, _ in found], "score": [s for _, _, s in found]}).astype("int64")
 
     return run
 
@@ -111,16 +114,17 @@ def _search(k: int):
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k largest integer products of each query row with the other rows."""
     prepare(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), to_integers(F.col(vector_col)).alias("v"), is_query.alias("q"))
-    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), doubles(F.col(vector_col)).alias("v"), is_query.alias("q")).where("vec_id IS NOT NULL AND v IS NOT NULL")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))  # numbers are fixed by storing them
     n = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("q"), 1)).alias("q")).first()
     vector_blocks, query_blocks = max(1, -(-n["n"] // VECTOR_ROWS)), max(1, -(-n["q"] // QUERY_ROWS))
-    spot = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")
+    spot = lambda m: F.pmod(F.xxhash64("row"), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     rows = rows.withColumn("dim", F.size("v"))
     queries = rows.where("q").withColumn("i", spot(query_blocks)).withColumn("j", every(vector_blocks))
     others = rows.withColumn("j", spot(vector_blocks)).withColumn("i", every(query_blocks))
     keys = ["dim", "i", "j"]
     found = queries.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(_search(k), RESULT)
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("p", "b")).select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    # A filtered row_number keeps k rows for each query and task before they are shuffled.
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -214,18 +214,24 @@ def test_search_matches_brute_force(spark, seed, monkeypatch):
     rows = [(i, [float(x) for x in np.round(rng.normal(size=8), 2)]) for i in range(230)]
     rows += [(300 + i, rows[0][1]) for i in range(40)]  # ties
     rows += [(400, None), (401, []), (402, [1.0, None]), (404, [float("nan")] * 8), (405, [float("inf")] * 8), (None, rows[1][1]), (410, [1.0, 2.0]), (420, [2.0, 1.0]), (430, [0.0] * 8)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(0))
+    rows += [(0, rows[3][1]), (0, rows[3][1]), (20, rows[5][1]), (440, [3e5] + [1.0] * 7), (441, [2e6] * 8), (450, [-2e6] * 7 + [7e5])]  # repeated ids, and products beyond 2**53
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(0)).withColumn("row", F.lit("x"))
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vafile.exact_top_k(df, F.col("vec_id") % 10 == 0).collect())
-    v = {i: np.floor(256 * np.array(x, dtype=np.float32).astype(np.float64)).astype(np.int64) for i, x in rows if i is not None and x and None not in x and np.isfinite(x).all()}
+    v = [(i, [int(c) for c in np.floor(256 * np.array(x, dtype=np.float32).astype(np.float64))]) for i, x in rows if i is not None and x and None not in x and np.isfinite(x).all()]
     want = []
-    for q in v:
+    for a, (q, x) in enumerate(v):
         if q % 10 == 0:
-            best = sorted((-int(v[q] @ v[o]), o) for o in v if o != q and len(v[o]) == len(v[q]))[:5]
+            best = sorted((-sum(c * d for c, d in zip(x, y)), o) for b, (o, y) in enumerate(v) if a != b and len(x) == len(y))[:5]
             want += [(q, n + 1, o, -s) for n, (s, o) in enumerate(best)]
     assert got == sorted(want)
     assert vafile.exact_top_k(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_products_beyond_a_long():
+    v, q = np.array([[2.0**40, -(2.0**40)], [3.0, 2.0**50]]), np.array([2.0**45 + 1, 5.0])
+    assert vafile.products(v, q).tolist() == [sum(int(a) * int(b) for a, b in zip(r, q)) for r in v]
+
+
 # --- lines
 
 
