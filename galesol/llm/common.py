@@ -9,11 +9,14 @@ from collections.abc import Callable, Hashable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 #: Rows of an Arrow batch. A batch of whole texts stays small even when texts are long.
 ARROW_ROWS = 512
-#: Most rows of a side that is broadcast; a larger side is shuffled instead.
+#: Most numbers that travel with a task's function.
 BROADCAST_ROWS = 500_000
+#: Most bytes of a side that is broadcast; a larger side is shuffled instead.
+BROADCAST_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,11 +48,24 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_side(df: DataFrame, rows_each: int = 1) -> DataFrame:
-    """Hint a broadcast of a stored table only if its counted rows are within BROADCAST_ROWS; else leave a shuffle join.
+def _width(kind: DataType) -> int:
+    return sum(_width(f.dataType) for f in kind.fields) if isinstance(kind, StructType) else 8
 
-    rows_each: how many plain rows one row stands for (rows that carry arrays)."""
-    return F.broadcast(df) if df.count() * rows_each <= BROADCAST_ROWS else df
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Hint a broadcast of a stored table only if its summed bytes are within BROADCAST_BYTES; else leave a shuffle join.
+
+    Strings count by their bytes, arrays by their elements."""
+    size = F.lit(16)
+    for f in df.schema:
+        if isinstance(f.dataType, ArrayType):
+            size = size + 16 + F.coalesce(F.greatest(F.size(f.name), F.lit(0)), F.lit(0)) * _width(f.dataType.elementType)
+        elif isinstance(f.dataType, StringType):
+            size = size + 16 + F.coalesce(F.octet_length(f.name), F.lit(0))
+        else:
+            size = size + _width(f.dataType)
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

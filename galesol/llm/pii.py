@@ -434,5 +434,5 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("h"))
     numbered = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    joined = rows.join(small_side(extra, 4), same, "left").select(*[F.col("row")[c].alias(n) for c, n in numbered.items()], "extra")
+    joined = rows.join(small_side(extra), same, "left").select(*[F.col("row")[c].alias(n) for c, n in numbered.items()], "extra")
     return joined.mapInArrow(_mask(docs.columns.index("text")), docs.withColumnsRenamed(numbered).schema).toDF(*docs.columns)

@@ -192,7 +192,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     mixed = classes.groupBy("name").agg(F.count("*").alias("c"), F.min("n").alias("m")).where("c > 1 AND m = 1").select("name", (F.col("c") > GROUP_CLASSES).alias("big"))
     wanted = classes.join(mixed, "name").groupBy(F.col("place.doc").alias("doc_id"), F.col("place.h").alias("h"))
     wanted = stored(wanted.agg(F.collect_list(F.struct("name", F.col("place.at").alias("at"), "least", "most", "n", "big")).alias("wanted")))
-    spans = texts.join(small_side(wanted, 8), ["doc_id", "h"]).select("doc_id", "h", "text", "wanted").mapInArrow(_cut_out(length), "doc long, h long, name long, at long, least int, most int, n long, big boolean, bytes binary")
+    spans = texts.join(small_side(wanted), ["doc_id", "h"]).select("doc_id", "h", "text", "wanted").mapInArrow(_cut_out(length), "doc long, h long, name long, at long, least int, most int, n long, big boolean, bytes binary")
     spans = stored(spans)
     induced = spans.where("NOT big").repartition("name").sortWithinPartitions("name").mapInArrow(_induce(length), _RUNS)
     windows = spans.where("big").mapInArrow(_explode(length), "doc long, h long, name long, n long, offset int, window long, s long")
