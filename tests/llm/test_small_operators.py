@@ -248,6 +248,9 @@ def test_edit_distance():
     for _ in range(300):
         a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 12))) for _ in "xy")
         assert lines.edit_distance(a, b) == plain(a, b)
+        assert lines.edit_distance(a, b, 3) == plain(a, b) or min(lines.edit_distance(a, b, 3), plain(a, b)) > 3
+        a, b = (x.replace("c", " ") for x in (a, b))
+        assert lines.distance_by_words(a, b, 10**6) >= plain(a, b)
 
 
 @pytest.mark.parametrize("members", [3, 512])
