@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from galesol.sources.catalog import kept
 
 CELL = ["lat_idx", "lon_idx"]
 #: Grid axes and masks up to this many rows are broadcast; larger ones are shuffled.
@@ -10,7 +12,8 @@ SMALL_ROWS = 2_000_000
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only where the counted rows are within bounds."""
+    """Store a table of axes, cells or edges, and hint its broadcast only where its counted rows are within bounds."""
+    df = kept(df, "small")
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
@@ -56,7 +59,7 @@ def nearest_axis(own: DataFrame, other: DataFrame, name: str, prefer: str, reach
         ends = b.agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
         a = a.crossJoin(F.broadcast(ends)).where("x BETWEEN lo AND hi").drop("lo", "hi")
     tie = F.col("y") if prefer == "smaller" else -F.col("y")
-    near = a.crossJoin(F.broadcast(b)).groupBy("idx").agg(F.min_by("other_idx", F.struct(F.abs(F.col("y") - F.col("x")), tie)).alias("other_idx"))
+    near = a.crossJoin(small(b)).groupBy("idx").agg(F.min_by("other_idx", F.struct(F.abs(F.col("y") - F.col("x")), tie)).alias("other_idx"))
     return near.toDF(f"{name}_idx", f"other_{name}_idx")
 
 
@@ -69,10 +72,10 @@ def onshore_mask(df: DataFrame, mask: DataFrame, values: list[str]) -> DataFrame
 
     Nearest per axis, ties to the smaller coordinate; the axis maps are tiny, so the
     grid itself never meets the mask by distance."""
-    cells = df.select("lat_idx", "lat", "lon_idx", "lon").distinct()
+    cells = kept(df.select("lat_idx", "lat", "lon_idx", "lon").distinct(), "cells")
     lat = nearest_axis(axis(cells, "lat"), axis(mask, "lat"), "lat", "smaller", reach=True)
     lon = nearest_axis(axis(cells, "lon"), axis(mask, "lon"), "lon", "smaller", reach=True)
-    land = cells.join(F.broadcast(lat), "lat_idx").join(F.broadcast(lon), "lon_idx").join(
+    land = cells.join(small(lat), "lat_idx").join(small(lon), "lon_idx").join(
         mask.select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"), "mask"), ["other_lat_idx", "other_lon_idx"]
     )
     land = land.where("mask > 0.5").select(*CELL, F.lit(True).alias("__land"))
@@ -87,24 +90,30 @@ def regrid_nearest(df: DataFrame, lat: DataFrame, lon: DataFrame, values: list[s
     near_lat = nearest_axis(lat, axis(df, "lat"), "lat", "smaller").join(lat.toDF("lat_idx", "lat"), "lat_idx")
     near_lon = nearest_axis(lon, axis(df, "lon"), "lon", "smaller").join(lon.toDF("lon_idx", "lon"), "lon_idx")
     source = df.select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"), *[c for c in df.columns if c in values or c not in ("lat", "lon", *CELL)])
-    return source.join(F.broadcast(near_lat), "other_lat_idx").join(F.broadcast(near_lon), "other_lon_idx").drop("other_lat_idx", "other_lon_idx")
+    return source.join(small(near_lat), "other_lat_idx").join(small(near_lon), "other_lon_idx").drop("other_lat_idx", "other_lon_idx")
 
 
 def dense_cell_id(mask: DataFrame) -> DataFrame:
-    """Unmasked cells with ids 0..n-1 in row-major order. One partition orders the mask alone, a row per cell."""
-    from pyspark.sql import Window
+    """Unmasked cells with ids 0..n-1 in row-major order.
 
-    return mask.where("mask > 0.5").select(*CELL, (F.row_number().over(Window.orderBy(*CELL)) - 1).cast("long").alias("cell"))
+    Tasks number their ranges of cells by themselves; what comes before a range is summed over one row for each task."""
+    ordered = mask.where("mask > 0.5").select(*CELL).repartitionByRange(*CELL).sortWithinPartitions(*CELL)
+    # An id is the task's number and, in its last 33 bits, the row's; ranges are sampled anew each time, so they are stored.
+    numbered = kept(ordered.withColumn("n", F.monotonically_increasing_id()), "cells")
+    task, row = F.shiftright("n", 33), F.col("n").bitwiseAND((1 << 33) - 1)
+    tasks = numbered.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("rows"))
+    before = tasks.select("task", (F.sum("rows").over(Window.orderBy("task")) - F.col("rows")).alias("before"))
+    return numbered.withColumn("task", task).join(F.broadcast(before), "task").select(*CELL, (F.col("before") + row).cast("long").alias("cell"))  # a row for each task
 
 
-def mask_compact(df: DataFrame, mask: DataFrame) -> DataFrame:
-    """Rows of unmasked cells, with their dense id."""
-    return df.join(small(dense_cell_id(mask)), CELL)
+def mask_compact(df: DataFrame, mask: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Rows of unmasked cells, with their dense id. cells: dense_cell_id(mask), if at hand."""
+    return df.join(small(dense_cell_id(mask) if cells is None else cells), CELL)
 
 
-def mask_scatter(result: DataFrame, mask: DataFrame) -> DataFrame:
-    """Compact results (by `cell`) back on the full grid; masked cells are null."""
-    full = mask.select(*CELL).join(dense_cell_id(mask), CELL, "left")
+def mask_scatter(result: DataFrame, mask: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Compact results (by `cell`) back on the full grid; masked cells are null. cells: dense_cell_id(mask), if at hand."""
+    full = mask.select(*CELL).join(dense_cell_id(mask) if cells is None else cells, CELL, "left")
     return full.join(result, "cell", "left").drop("cell")
 
 

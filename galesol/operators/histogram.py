@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from galesol.operators.grid import small
+
 
 def bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin of x among equal bins; the largest value falls in the last."""
@@ -22,6 +24,7 @@ def histogram(df: DataFrame, value: str, keys: list[str], bins: int) -> DataFram
     rows = df.where(F.col(value).isNotNull())
     same = F.min(value) == F.max(value)
     edges = rows.groupBy(*keys).agg((F.min(value) - F.when(same, 0.5).otherwise(0.0)).alias("lo"), (F.max(value) + F.when(same, 0.5).otherwise(0.0)).alias("hi"))
+    edges = small(edges) if keys else edges  # one row a key
     binned = rows.join(edges, keys) if keys else rows.crossJoin(F.broadcast(edges))  # one row without keys
     counts = binned.withColumn("bin", bin_of(F.col(value), F.col("lo"), F.col("hi"), bins)).groupBy(*keys, "bin").count()
     return _filled(counts, edges, keys, bins)

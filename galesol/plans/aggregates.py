@@ -10,6 +10,7 @@ from galesol.operators import grid as G, histogram as H, temporal as A
 from galesol.plans.columns import CDD, HDD, power_sql
 from galesol.plans.joins import _CLIM, POINT_SQL
 from galesol.plans.registry import query, r
+from galesol.sources.catalog import kept
 from galesol.sources.fixtures import dim_mask, obs_daily, obs_hourly, rounded
 
 c = F.col
@@ -184,13 +185,14 @@ _MONTH_ROWS = f"SELECT lat_idx, lon_idx, CAST(date_trunc('month', time) AS DATE)
 )
 def cf_histogram_monthly(spark: SparkSession, d: str) -> DataFrame:
     """Monthly counts per unmasked cell between fixed edges, put back on the full grid; masked cells are null."""
-    mask = dim_mask(spark, d)
+    mask = kept(dim_mask(spark, d), "mask")
+    cells = G.dense_cell_id(mask)
     rows = obs_hourly(spark, d).withColumn("cf", W.capacity_factor(c("ws"), "I")).withColumn("month", F.trunc(c("time").cast("date"), "month"))
-    counts = H.fixed_histogram(G.mask_compact(rows, mask), "cf", ["cell", "month"], 30).select("cell", "month", "bin", "count")
+    counts = H.fixed_histogram(G.mask_compact(rows, mask, cells), "cf", ["cell", "month"], 30).select("cell", "month", "bin", "count")
     months = rows.select("month").distinct()
-    spine = G.mask_scatter(G.dense_cell_id(mask).select("cell", F.lit(True).alias("land")), mask).crossJoin(G.small(months)).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(29))))
-    cells = G.dense_cell_id(mask)
-    out = spine.join(cells, G.CELL, "left").join(counts, ["cell", "month", "bin"], "left")
+    grid = mask.select(*G.CELL, (c("mask") > 0.5).alias("land")).join(cells, G.CELL, "left")
+    spine = grid.crossJoin(G.small(months)).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(29))))
+    out = spine.join(counts, ["cell", "month", "bin"], "left")
     count = F.when(c("land"), F.coalesce("count", F.lit(0)))
     return out.select(*G.CELL, "month", "bin", rounded(c("bin") / 30.0).alias("lo"), rounded((c("bin") + 1) / 30.0).alias("hi"), count.alias("count"))
 

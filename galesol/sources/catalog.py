@@ -13,9 +13,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_indicator(df: DataFrame, path: str, date: str = "date") -> None:
-    """Write one row group per date; dates that are written again are replaced, others stay."""
-    df.repartition(date).write.partitionBy(date).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """`df` written in the shared folder and read back, so that what several joins use is worked out once."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_indicator(df: DataFrame, path: str, date: str = "date", files: int = 4) -> None:
+    """Write up to `files` files per date, each by a task of its own; dates that are written again are replaced, others stay."""
+    plain = [c for c, t in df.dtypes if not t.startswith("map")]  # a map has no hash
+    salt = F.pmod(F.xxhash64(*plain), F.lit(files))
+    df.repartition(F.col(date), salt).write.partitionBy(date).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def file_name(first_time: Column, indicator: str) -> Column:

@@ -17,10 +17,12 @@ def read_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{folder}/{table}.parquet*")
 
 
-def run_available(stream: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Process what is there now into an append-only Parquet sink in the shared folder; returns what was written."""
+def run_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, folder: str | None = None) -> DataFrame:
+    """Process what is there now into an append-only Parquet sink; returns all that was written.
+
+    folder: holds the sink and its state, so that a later run goes on where the last one ended; a new shared one if not given."""
     spark = stream.sparkSession
-    out = shared_path(spark, name)
+    out = folder or shared_path(spark, name)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

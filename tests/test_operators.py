@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from galesol.functions import wind as W
 from galesol.operators import grid as G, histogram as H, temporal as A
 from galesol.sources import catalog, grid as S
+from galesol.streaming import indicators
 
 
 def test_histogram_counts_and_constant_cell(hours):
@@ -114,3 +116,29 @@ def test_metadata_and_validation(spark, hours):
 def test_capacity_factor_plan_is_one_projection(hours):
     plan = hours.select(*[W.capacity_factor(F.col("ws"), k).alias(k) for k in ("I", "S")])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "NestedLoop" not in plan and "Exchange" not in plan
+
+
+def test_dense_ids_are_row_major_over_many_tasks(spark):
+    cells = [(i, j, float((i * 5 + j) % 3)) for i in range(30) for j in range(20)]
+    mask = spark.createDataFrame(cells, "lat_idx int, lon_idx int, mask double").repartition(7)
+    got = {(r["lat_idx"], r["lon_idx"]): r["cell"] for r in G.dense_cell_id(mask).collect()}
+    assert got == {c: n for n, c in enumerate(sorted((i, j) for i, j, m in cells if m > 0.5))}
+    assert G.dense_cell_id(mask.where("false")).count() == 0
+
+
+def test_a_stream_goes_on_where_it_ended(spark, tmp_path):
+    rows = lambda a, b: spark.range(a, b).write.mode("append").parquet(str(tmp_path / "in"))
+    run = lambda: indicators.run_available(spark.readStream.schema("id long").parquet(str(tmp_path / "in")), "x", folder=str(tmp_path / "out"))
+    rows(0, 5)
+    assert run().count() == 5
+    rows(5, 8)
+    assert sorted(r["id"] for r in run().collect()) == list(range(8))
+
+
+def test_latest_input_is_the_file_modified_last(spark, tmp_path):
+    for name, day in (("a", 2), ("b", 3), ("c", 1)):
+        spark.range(3).coalesce(1).write.parquet(str(tmp_path / name))
+        for f in (tmp_path / name).glob("*.parquet"):
+            os.utime(f, (day * 86_400, day * 86_400))
+    row = catalog.latest_input(spark, f"{tmp_path}/*").first()
+    assert f"{tmp_path}/b/" in row["file"] and row["modified"].timestamp() == 3 * 86_400
