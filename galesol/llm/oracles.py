@@ -46,9 +46,9 @@ _SHARDS = f"""
 WITH d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS k, coalesce(strlen(text), 0)::BIGINT AS bytes FROM documents),
 l AS (SELECT doc_id, bytes, k, x.depth, sum(bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_docs
   FROM d, (SELECT unnest(range({sharding.BITS + 1})) AS depth) x WINDOW w AS (PARTITION BY x.depth, k >> ({sharding.BITS} - x.depth))),
-f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, k, bytes ORDER BY depth) AS r FROM l WHERE shard_bytes <= {sharding.LIMIT_BYTES} OR depth = {sharding.BITS})
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, k, bytes ORDER BY depth) AS r FROM l WHERE shard_bytes <= {sharding.QUERY_BYTES} OR depth = {sharding.BITS})
 SELECT doc_id, bytes, depth::INTEGER AS depth, right(lpad(bin(k), {sharding.BITS}, '0')[1:depth], 60) AS shard, shard_bytes::BIGINT AS shard_bytes, shard_docs::BIGINT AS shard_docs,
-  shard_bytes > {sharding.LIMIT_BYTES} AS oversized FROM f WHERE r = 1"""
+  shard_bytes > {sharding.QUERY_BYTES} AS oversized FROM f WHERE r = 1"""
 
 
 #: Shingle sets, all pairs that share a shingle, and what links reach.

@@ -24,7 +24,7 @@ def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(documents(spark, sf_dir))
+    return sharding.assign_shards(documents(spark, sf_dir), sharding.QUERY_BYTES)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

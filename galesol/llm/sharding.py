@@ -23,6 +23,8 @@ from galesol.llm.common import discard, small_side, stored
 
 BITS, STEP = 60, 8
 LIMIT_BYTES = 32 << 20
+#: The limit of the registered query, at which small tables split too.
+QUERY_BYTES = 1 << 20
 
 
 def key(doc_id: Column) -> Column:

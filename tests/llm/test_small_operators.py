@@ -48,7 +48,21 @@ def corpus(words, seed, n=60):
     return list(enumerate(out))
 
 
+def _path(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _scores(df):
+    rows = quality_classifier.described(df, ["doc_id"])
+    return quality_classifier.score_documents(rows, quality_classifier.train(rows, df.sparkSession.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, quality int")))
+
+
 OPERATORS = {
+    "packing": lambda df: packing.pack_documents(df, _path("byte_bpe_50k.json")).where("piece = 0"),
+    "pieces": lambda df: pieces.round_trip(df, _path("piece_bpe_32k.model")),
+    "scores": _scores,
     "pii": pii.find_pii,
     "lines": lines.line_report,
     "sharding": sharding.assign_shards,
