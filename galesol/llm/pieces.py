@@ -81,6 +81,7 @@ class Codec:
         joined = {y for p in self.rank for x, y in zip(p, p[1:]) if _LETTER(x)}
         signs = re.escape("".join(c for c in string.punctuation if c not in joined))
         self.words = (re.compile(f"\n|{MARK}*[{_LETTERS}]++(?=[{signs}])|{MARK}*[^{MARK}\n]+|{MARK}+") if signs else _WORDS).findall
+        self.model, self.plain_bytes = m, frozenset(self.byte_ids)
         self.limit, self.seed = min(int(rate * 2**64), _FULL), seed
         self.forget()
 
@@ -92,8 +93,8 @@ class Codec:
         self.path: list[tuple[str, tuple[int, ...]]] = [("", ()), ("", ())]
         self.reach = np.zeros((1 << 12, 2), dtype=np.int64)  # candidates that may be skipped next: from, to
 
-    def merge_short(self, word: str, skips: Callable[[int], bool]) -> tuple[list[str], int]:
-        """Pieces of one word and the number of its candidates, those that `skips` tells being skipped; the agenda is a plain list."""
+    def merge_short(self, word: str, bits: int) -> tuple[list[str], int]:
+        """Pieces of one word and the number of its candidates, those whose bit is set being skipped; the agenda is a plain list."""
         rank = self.rank.get
         parts = list(word)
         agenda = [rank(x + y, _NONE) for x, y in zip(word, word[1:])]
@@ -104,7 +105,7 @@ class Codec:
                 break
             k = agenda.index(best)
             n += 1
-            if skips(n - 1):
+            if bits >> n - 1 & 1:
                 agenda[k] = _NONE
                 continue
             parts[k] = both = parts[k] + parts[k + 1]
@@ -116,7 +117,7 @@ class Codec:
         return parts, n
 
     def merge_long(self, word: str, skips: Callable[[int], bool]) -> tuple[list[str], int]:
-        """As merge_short; the agenda is a heap."""
+        """As merge_short, `skips` telling what is skipped; the agenda is a heap."""
         rank = self.rank.get
         parts: list[str | None] = list(word)
         size, n = len(parts), 0
@@ -153,16 +154,29 @@ class Codec:
                 ids += [self.byte_ids[b] for b in p.encode("utf-8")]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def node(self, word: str, skipped: tuple[int, ...]) -> int:
-        parts, n = self.merge_short(word, skipped.__contains__)
+    def hold(self, word: str, skipped: tuple[int, ...], ids: bytes, candidates: int) -> int:
         number = len(self.ids)
-        self.ids.append(self.packed(parts))
+        self.ids.append(ids)
         self.path.append((word, skipped))
         if number == len(self.reach):
             self.reach = np.concatenate([self.reach, np.zeros_like(self.reach)])
-        self.reach[number] = skipped[-1] + 1 if skipped else 0, n if self.limit else 0
+        self.reach[number] = skipped[-1] + 1 if skipped else 0, candidates if self.limit else 0
         return number
 
+    def node(self, word: str, skipped: tuple[int, ...]) -> int:
+        parts, n = self.merge_short(word, sum(1 << n for n in skipped))
+        return self.hold(word, skipped, self.packed(parts), n)
+
+    def plant(self, words: list[str]) -> None:
+        """Roots of new words. The model's own segmentation, each merge of which is a candidate, serves those it can be asked for."""
+        asked = [w for w in words if len(w) > 1 and w[0] == MARK != w[1]]
+        for word, ids in zip(asked, self.model.encode([w[1:] for w in asked], num_threads=1)):
+            if self.plain_bytes.isdisjoint(ids):
+                self.roots[word] = self.hold(word, (), struct.pack(f"<{len(ids)}I", *ids), len(word) - len(ids))
+        for word in words:
+            if word not in self.roots:
+                self.roots[word] = self.node(word, ())
+
     def child(self, code: int) -> int:
         """Node of a parent and the candidate that is skipped after its own: parent << 8 | candidate."""
         key = (code >> 8, code & 255)
@@ -207,30 +221,15 @@ class Codec:
 
     def encode_words(self, words: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of each word, as little-endian 32-bit numbers."""
-        if len(self.roots) + len(self.children) > NODES:
+        if len(self.ids) > NODES:
             self.forget()
-        roots, at, once, alone = self.roots, [], [], []
-        for i, word in enumerate(words):
-            found = roots.get(word)
-            if found is None:
-                if not word:
-                    found = 0
-                elif len(word) > KNOWN_LENGTH:
-                    found = 1
-                    alone.append(i)
-                else:  # most words come once: a tree begins with the second
-                    found, roots[word] = 1, -1
-                    once.append(i)
-            elif found < 0:
-                found = roots[word] = self.node(word, ())
-            at.append(found)
-        out = list(map(self.ids.__getitem__, self.walk(np.array(at, dtype=np.int64), keys).tolist()))
-        if once:
-            n = np.arange(1, 65, dtype=np.uint64) * np.uint64(_CANDIDATE)
-            few = keys[once]
-            skips = np.packbits(mix64(few[:, None] + n) < np.uint64(self.limit), axis=1, bitorder="little").view("<u8").ravel().tolist()
-            for i, key, bits in zip(once, few.tolist(), skips):
-                out[i] = self.packed(self.merge_short(words[i], lambda n, bits=bits, key=key: bits >> n & 1 if n < 64 else bool(self.limit) and self.skipped(key, n))[0])
+        known = self.roots.get
+        at = np.array([known(w, -1) for w in words], dtype=np.int64)
+        new = np.flatnonzero(at < 0).tolist()
+        self.plant(list(dict.fromkeys(words[i] for i in new if 0 < len(words[i]) <= KNOWN_LENGTH)))
+        alone = [i for i in new if len(words[i]) > KNOWN_LENGTH]
+        at[new] = [known(words[i], 1 if words[i] else 0) for i in new]
+        out = list(map(self.ids.__getitem__, self.walk(at, keys).tolist()))
         for i in alone:
             key = int(keys[i])
             out[i] = self.packed(self.merge_long(words[i], lambda n, key=key: bool(self.limit) and self.skipped(key, n))[0])
