@@ -23,7 +23,7 @@ def plain(v):
 def compare(spark, sf, query, sql):
     db = duckdb.connect()
     db.execute("SET TimeZone='UTC'")
-    for t in TABLES + ["documents", "embeddings", "labels"]:
+    for t in TABLES + ["documents", "embeddings", "labels", "pages"]:
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = query(spark, sf)
     got = df.collect()
