@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from galesol.llm import sharding
+from galesol.llm import lloyd, phrases, sharding, url_filter
 from galesol.llm.quality_rules import RULES
 from galesol.llm.textstats import STOP_WORDS
 
@@ -76,4 +76,86 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, (octet_length(b) - octet_leng
   (SELECT count(*) FROM c WHERE c.r = d.r)::BIGINT AS n_spans, sha256(kept) AS kept_sha256 FROM d JOIN o USING (r)"""
 
 
-ORACLES: dict[str, str] = {"op9_repeated_substrings": _REPEATS, "op7_circulant_minhash": _NEAR, "op2_va_file": _TOP_K, "op4_extendible_hashing": _SHARDS, "op5_quality_rules": _rules_sql()}
+_UPPER, _LOWER = url_filter.ASCII_UPPER, url_filter.ASCII_LOWER
+
+#: All phrases of up to four words by plain counting, their worst cuts, what longer ones hold, and the best of each language.
+_PHRASES = f"""
+WITH p AS (SELECT lang, list_filter(string_split_regex(x, '[ \\t]+'), lambda w: w <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents)),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS k) WHERE len(w) >= k)),
+c AS MATERIALIZED (SELECT lang, k AS words, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= {phrases.SUPPORT}),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+s AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS w FROM c WHERE words > 1),
+u AS (SELECT *, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, words)) AS k FROM s)),
+v AS (SELECT u.lang, u.phrase, a, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score FROM u JOIN c l ON l.lang = u.lang AND l.phrase = x JOIN c r ON r.lang = u.lang AND r.phrase = y
+  QUALIFY row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY (2000000::HUGEINT * a) // (l.f + r.f), k) = 1),
+b AS (SELECT lang, q, max(a) AS m FROM (SELECT lang, a, array_to_string(w[i:i + z - 1], ' ') AS q FROM (SELECT *, unnest(range(1, words - z + 2)) AS i FROM s, (SELECT unnest(range(2, {phrases.LONGEST})) AS z) WHERE z < words)) GROUP BY ALL)
+SELECT v.lang, row_number() OVER (PARTITION BY v.lang ORDER BY score DESC, a DESC, v.phrase) AS rank, v.phrase, a, l, r, n, score FROM v JOIN n ON n.lang = v.lang LEFT JOIN b ON b.lang = v.lang AND b.q = v.phrase
+WHERE m IS NULL OR 100::HUGEINT * m < {phrases.INSIDE} * a::HUGEINT QUALIFY row_number() OVER (PARTITION BY v.lang ORDER BY score DESC, a DESC, v.phrase) <= {phrases.TOP}"""
+
+
+def _lloyd_sql() -> str:
+    """Rounds written out one after the other."""
+    out = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding, list_transform(embedding, lambda x: floor({lloyd.SCALE} * x::DOUBLE)::HUGEINT) AS v FROM embeddings
+  WHERE len(embedding) = {lloyd.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT c, v FROM (SELECT v, row_number() OVER (ORDER BY sha256('{lloyd.SEED}:' || vec_id) NULLS LAST, embedding) - 1 AS c FROM v) WHERE c < {lloyd.CLUSTERS})""",
+    ]
+    for i in range(lloyd.ROUNDS + 1):
+        out.append(
+            f"""a{i} AS MATERIALIZED (SELECT r, c, d FROM (SELECT r, c, list_sum(list_transform(list_zip(v.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{i}) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        )
+        if i < lloyd.ROUNDS:
+            out.append(f"""m{i} AS (SELECT c, list(x ORDER BY j) AS v FROM (SELECT c, j, (sum(v[j]) - (sum(v[j]) % count(*) + count(*)) % count(*)) // count(*) AS x FROM a{i} JOIN v USING (r), (SELECT unnest(range(1, {lloyd.DIMS + 1})) AS j) GROUP BY c, j) GROUP BY c)""")
+            out.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    last = lloyd.ROUNDS
+    return f"""WITH {", ".join(out)}
+SELECT vec_id, a.c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(k.v, lambda x: x::VARCHAR), ',')) AS centroid_sha256 FROM a{last} a JOIN v USING (r) JOIN c{last} k ON k.c = a.c"""
+
+
+def _urls_sql() -> str:
+    """The levels of the tree written out one after the other."""
+    u, node = url_filter, "host, prefix"
+    rules = sorted(u.RULES, key=lambda r: (-len(r.host) - len(r.path), -len(r.host), r.verdict != "block"))
+    case = lambda value: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN {value(r)}" for r in rules) + " END"
+
+    def alike(t: str) -> str:
+        node = "host, prefix, lead"
+        return f"""SELECT {node}, branch, (terms * all_n / n - n <= free + {u.SIGMAS!r}::DOUBLE * sqrt(2e0 * free) + 1e-6)
+    AND (bad - (bad + good) * p) * (bad - (bad + good) * p) <= {u.SIGMAS**2!r}::DOUBLE * (bad + good) * p * (1e0 - p) + 1e-6 AS alike
+  FROM (SELECT {node}, branch, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad, sum(good)::DOUBLE AS good FROM {t} GROUP BY ALL)
+  JOIN (SELECT {node}, sum(n)::DOUBLE AS all_n, (sum(bad) + 5e-1) / (sum(bad) + sum(good) + 1e0) AS p, count(DISTINCT tail) - 1 AS free FROM {t} GROUP BY ALL) USING ({node})
+  JOIN (SELECT {node}, branch, sum(n::DOUBLE * n / pn) AS terms FROM {t} JOIN (SELECT {node}, tail, sum(n)::DOUBLE AS pn FROM {t} GROUP BY ALL) USING ({node}, tail) GROUP BY ALL) USING ({node}, branch)"""
+
+    out = [
+        f"""r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
+        f"""h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)""",
+        f"""g AS (SELECT *, {case(lambda r: f"'{r.host + r.path}'")} AS rule, {case(lambda r: f"'{r.verdict}'")} AS ruled,
+  CASE WHEN path = '' THEN []::VARCHAR[] ELSE string_split(substr(regexp_replace(path, '{u.VARIABLE}', '{u.WILD}', 'g'), 2), '/') END AS whole FROM h)""",
+        f"""q AS MATERIALIZED (SELECT *, CASE WHEN len(whole) > {u.DEPTH} THEN list_append(whole[1:{u.DEPTH - 1}], array_to_string(whole[{u.DEPTH}:], '/')) ELSE whole END AS segs FROM g)""",
+        """s0 AS MATERIALIZED (SELECT host, segs AS shape, segs, '' AS prefix, count(*)::BIGINT AS n, count(CASE WHEN ruled = 'block' THEN 1 END) AS bad, count(CASE WHEN ruled = 'allow' THEN 1 END) AS good FROM q GROUP BY ALL)""",
+    ]
+    for i in range(u.DEPTH):
+        out += [
+            f"""l{i} AS (SELECT *, segs[{i + 1}] AS seg, segs[{i + 2}:] AS rest FROM s{i} WHERE len(segs) > {i})""",
+            f"""f{i} AS (SELECT {node}, seg FROM (SELECT {node}, seg, sum(n) AS x, sum(sum(n)) OVER (PARTITION BY {node}) AS y FROM l{i} GROUP BY {node}, seg) WHERE x >= {u.MIN_PAGES} AND x >= {u.MIN_SHARE!r}::DOUBLE * y)""",
+            f"""b{i} AS MATERIALIZED (SELECT l.*, coalesce(f.seg, '{u.WILD}') AS branch FROM l{i} l LEFT JOIN f{i} f USING ({node}, seg))""",
+            f"""t{i} AS MATERIALIZED (SELECT *, first_value(tail) OVER (PARTITION BY {node}, branch ORDER BY n DESC, tail) AS lead
+  FROM (SELECT {node}, branch, len(rest) || '/' || coalesce(array_to_string(rest, '/'), '') AS tail, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad, sum(good)::BIGINT AS good FROM b{i} GROUP BY ALL))""",
+            f"""x{i} AS MATERIALIZED ({alike(f"t{i}")})""",
+            f"""o{i} AS MATERIALIZED (SELECT t.* FROM t{i} t SEMI JOIN (SELECT * FROM x{i} WHERE NOT alike) USING ({node}, branch))""",
+            f"""k{i} AS MATERIALIZED (SELECT {node}, lead, branch, 'a' AS g FROM x{i} WHERE alike UNION ALL SELECT {node}, lead, branch, CASE WHEN alike THEN 'b' ELSE '-' || branch END FROM ({alike(f"o{i}")}))""",
+            f"""n{i} AS (SELECT {node}, lead, g, CASE WHEN count(*) > 1 THEN '{{' || string_agg(branch, '|' ORDER BY branch) || '}}' ELSE any_value(branch) END AS name FROM k{i} GROUP BY ALL)""",
+            f"""s{i + 1} AS MATERIALIZED (SELECT host, shape, segs, prefix || '/' || name AS prefix, n, bad, good FROM b{i} JOIN k{i} USING ({node}, branch) JOIN n{i} USING ({node}, lead, g)
+  UNION ALL SELECT host, shape, segs, prefix, n, bad, good FROM s{i} WHERE len(segs) <= {i})""",
+        ]
+    last = f"s{u.DEPTH}"
+    return f"""WITH {", ".join(out)},
+prior AS (SELECT coalesce(sum(bad)::DOUBLE / nullif(sum(bad) + sum(good), 0), 0e0) AS p FROM {last}),
+pure AS (SELECT host, prefix, (sum(bad) + {u.PRIOR_PAGES!r}::DOUBLE * any_value(p)) / (sum(bad) + sum(good) + {u.PRIOR_PAGES!r}::DOUBLE) AS purity, sum(bad) AS bad FROM {last}, prior GROUP BY ALL)
+SELECT page_id, q.host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.MAX_BAD!r}::DOUBLE AND pure.bad > 0 THEN 'block' ELSE 'allow' END) AS verdict, s.prefix AS template, round(purity, 6) AS purity
+FROM q JOIN {last} s ON s.host = q.host AND s.shape = q.segs JOIN pure ON pure.host = s.host AND pure.prefix = s.prefix"""
+
+
+ORACLES: dict[str, str] = {"op11_son_phrases": _PHRASES, "op12_path_templates": _urls_sql(), "op13_dimension_lloyd": _lloyd_sql(), "op9_repeated_substrings": _REPEATS, "op7_circulant_minhash": _NEAR, "op2_va_file": _TOP_K, "op4_extendible_hashing": _SHARDS, "op5_quality_rules": _rules_sql()}

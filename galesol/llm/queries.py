@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galesol.llm import lines, minhash, oracles, packing, pieces, pii, quality_classifier, quality_rules, repeats, sharding, vafile
+from galesol.llm import lines, lloyd, minhash, oracles, packing, phrases, pieces, pii, quality_classifier, quality_rules, repeats, sharding, url_filter, vafile
 from galesol.llm.common import documents, prepare
 
 
@@ -57,6 +57,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(rows, model)
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op12_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_dimension_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster_report(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -74,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_merge_dropout,
         op9_repeated_substrings,
         op10_quality_classifier,
+        op11_son_phrases,
+        op12_path_templates,
+        op13_dimension_lloyd,
         pipeline,
     )
 }

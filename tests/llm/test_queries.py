@@ -16,7 +16,7 @@ def test_oracles(spark, sf, name):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def test_stages_on_odd_rows(spark, sf):
