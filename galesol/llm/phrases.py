@@ -37,7 +37,7 @@ INSIDE = 80
 #: Parts that are mined by themselves. Few shards keep the local support well above one.
 SHARDS = 4
 #: Bytes of text split at a time, words counted at a time, codes of a stored row.
-TEXT_BYTES, SLAB_WORDS, ROW_CODES = 2 << 20, 2_500_000, 1 << 14
+TEXT_BYTES, SLAB_WORDS, ROW_CODES = 2 << 20, 1_500_000, 1 << 14
 #: Words of a shard for each group of hashes; most groups of a shard; bytes of all filters of a level.
 GROUP_WORDS, MOST_GROUPS, FILTER_BYTES = 1 << 22, 1 << 16, 64 << 20
 
