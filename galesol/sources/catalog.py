@@ -27,6 +27,23 @@ def write_indicator(df: DataFrame, path: str, date: str = "date", files: int = 4
     df.repartition(F.col(date), salt).write.partitionBy(date).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
+def publish_version(df: DataFrame, path: str) -> int:
+    """Add a version of a side table (a mask, a climatology); versions that are there stay, for runs that hold them."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    number = 1 + (spark.read.parquet(path).agg(F.max("version")).first()[0] or 0) if there else 1
+    df.withColumn("version", F.lit(number)).write.partitionBy("version").mode("append").parquet(path)
+    return number
+
+
+def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """One version of a side table, the newest if none is named; other versions aren't read."""
+    table = spark.read.parquet(path)
+    number = table.agg(F.max("version")).first()[0] if version is None else version
+    return table.where(F.col("version") == number)
+
+
 def file_name(first_time: Column, indicator: str) -> Column:
     return F.concat(F.date_format(first_time, "yyyy_MM_dd_'T'HH_mm_"), F.lit(indicator))
 

@@ -17,16 +17,27 @@ def read_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{folder}/{table}.parquet*")
 
 
-def run_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, folder: str | None = None) -> DataFrame:
+#: State store of processors with timers.
+PROVIDER, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_available(stream: DataFrame, name: str, partition_by: list[str] | None = None, folder: str | None = None, timers: bool = False) -> DataFrame:
     """Process what is there now into an append-only Parquet sink; returns all that was written.
 
-    folder: holds the sink and its state, so that a later run goes on where the last one ended; a new shared one if not given."""
+    folder: holds the sink and its state, so that a later run goes on where the last one ended; a new shared one if not given.
+    timers: keep state in RocksDB, which processors with timers need."""
     spark = stream.sparkSession
+    before = spark.conf.get(PROVIDER)
     out = folder or shared_path(spark, name)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.start(f"{out}/data").awaitTermination()
+    if timers:
+        spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        writer.start(f"{out}/data").awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER, before)
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
@@ -62,5 +73,19 @@ def stream_capacity_factor(stream: DataFrame, iec_class: str) -> DataFrame:
     return stream.withColumn("cf", capacity_factor(F.col("ws"), iec_class))
 
 
+def stream_masked_event_counts(stream: DataFrame, mask: DataFrame, value: str, keys: list[str], cell: list[str], high: float = 25.0, low: float = 3.0, delay: str = DELAY) -> DataFrame:
+    """Daily event counts of unmasked cells only. mask: cell columns, mask and version, a stored version of a side table (catalog.read_version); its version goes with the counts.
+
+    The mask is fixed for a run; a later run of the same stream may take a newer one."""
+    land = mask.where("mask > 0.5").select(*cell, "version")
+    return stream_event_counts(stream.join(land, cell), value, [*keys, "version"], high, low, delay)
+
+
+def stream_departure(stream: DataFrame, clim: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Stateless: each row's departure from a stored climatology (keys, month, dom, base); 29 February has none and goes."""
+    rows = stream.withColumn("month", F.month("time")).withColumn("dom", F.dayofmonth("time"))
+    return rows.join(clim, [*keys, "month", "dom"]).withColumn("departure", F.col(value) - F.col("base")).drop("month", "dom")
+
+
 def stream_raw_by_week(stream: DataFrame) -> DataFrame:
     return stream.withColumn("week", F.date_add(F.trunc(F.col("time").cast("date"), "week"), 6))
