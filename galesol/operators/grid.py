@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from galesol.sources.catalog import kept
 
 CELL = ["lat_idx", "lon_idx"]
-#: Grid axes and masks up to this many rows are broadcast; larger ones are shuffled.
-SMALL_ROWS = 2_000_000
+#: Tables of axes, cells, edges and curves up to this many bytes are broadcast; larger ones are shuffled.
+SMALL_BYTES = 64 << 20
+#: Ranges that an axis is cut into.
+BANDS = 64
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Store a table of axes, cells or edges, and hint its broadcast only where its counted rows are within bounds."""
-    df = kept(df, "small")
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+    """Store a table of axes, cells or edges, and hint its broadcast only where its bytes, summed while it is written, are within bounds."""
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    seen = Observation()
+    out = kept(df.observe(seen, F.sum(reduce(Column.__add__, wide, F.lit(16 * (1 + len(df.columns)))).cast("long")).alias("bytes")), "small")
+    return F.broadcast(out) if (seen.get["bytes"] or 0) <= SMALL_BYTES else out
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -52,15 +58,29 @@ def wrapped(lon: Column) -> Column:
 def nearest_axis(own: DataFrame, other: DataFrame, name: str, prefer: str, reach: bool = False) -> DataFrame:
     """Axis map (idx -> other_idx) of nearest coordinates; `prefer` says which coordinate wins a tie.
 
-    own, other: distinct (idx, x) of one axis, a few thousand rows at most. reach: own
-    coordinates outside the other axis find nothing."""
-    a, b = own.toDF("idx", "x"), other.toDF("other_idx", "y")
+    own, other: distinct (idx, x) of one axis. Both are sorted together within ranges of the coordinate; a row looks at the
+    last smaller and the next larger coordinate of the other axis, which may lie in another range. reach: own
+    coordinates outside the other axis find nothing, as do null ones."""
+    a, b = own.toDF("idx", "x"), other.toDF("other_idx", "x").where("x IS NOT NULL")
+    ends = b.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))  # one row
+    both = a.where("x IS NOT NULL").select("idx", F.lit(None).cast(b.schema["other_idx"].dataType).alias("other_idx"), "x")
+    both = both.union(b.select(F.lit(None).cast(a.schema["idx"].dataType).alias("idx"), "other_idx", "x")).crossJoin(F.broadcast(ends))
     if reach:
-        ends = b.agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
-        a = a.crossJoin(F.broadcast(ends)).where("x BETWEEN lo AND hi").drop("lo", "hi")
-    tie = F.col("y") if prefer == "smaller" else -F.col("y")
-    near = a.crossJoin(small(b)).groupBy("idx").agg(F.min_by("other_idx", F.struct(F.abs(F.col("y") - F.col("x")), tie)).alias("other_idx"))
-    return near.toDF(f"{name}_idx", f"other_{name}_idx")
+        both = both.where("x BETWEEN lo AND hi")
+    part = F.coalesce(F.try_divide((F.col("x") - F.col("lo")) * BANDS, F.col("hi") - F.col("lo")), F.lit(0.0))
+    both = both.withColumn("band", F.least(F.greatest(F.floor(part), F.lit(0)), F.lit(BANDS - 1)).cast("int"))
+    known = F.when(F.col("other_idx").isNotNull(), F.struct(F.col("x").alias("y"), "other_idx"))
+    met = lambda order: F.last(known, ignorenulls=True).over(Window.partitionBy("band").orderBy(order, F.col("other_idx").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    rows = both.withColumn("below", met(F.col("x").asc())).withColumn("above", met(F.col("x").desc()))
+    # What the ranges before and behind hold: BANDS rows, whatever the axis.
+    held = both.sparkSession.range(BANDS).select(F.col("id").cast("int").alias("band")).join(both.groupBy("band").agg(F.max(known).alias("top"), F.min(known).alias("bottom")), "band", "left")
+    edge = lambda side, order: F.last(side, ignorenulls=True).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    held = held.select("band", edge("top", F.col("band").asc()).alias("before"), edge("bottom", F.col("band").desc()).alias("behind"))
+    rows = rows.where("idx IS NOT NULL").join(F.broadcast(held), "band").withColumn("below", F.coalesce("below", "before")).withColumn("above", F.coalesce("above", "behind"))
+    down, up = F.col("x") - F.col("below.y"), F.col("above.y") - F.col("x")
+    first = down <= up if prefer == "smaller" else down < up
+    near = F.when(F.col("above").isNull() | first, F.col("below")).otherwise(F.col("above"))
+    return rows.where("below IS NOT NULL OR above IS NOT NULL").select("idx", near["other_idx"].alias("other_idx")).toDF(f"{name}_idx", f"other_{name}_idx")
 
 
 def axis(df: DataFrame, name: str) -> DataFrame:
@@ -75,7 +95,7 @@ def onshore_mask(df: DataFrame, mask: DataFrame, values: list[str]) -> DataFrame
     cells = kept(df.select("lat_idx", "lat", "lon_idx", "lon").distinct(), "cells")
     lat = nearest_axis(axis(cells, "lat"), axis(mask, "lat"), "lat", "smaller", reach=True)
     lon = nearest_axis(axis(cells, "lon"), axis(mask, "lon"), "lon", "smaller", reach=True)
-    land = cells.join(small(lat), "lat_idx").join(small(lon), "lon_idx").join(
+    land = cells.join(lat, "lat_idx").join(lon, "lon_idx").join(
         mask.select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"), "mask"), ["other_lat_idx", "other_lon_idx"]
     )
     land = land.where("mask > 0.5").select(*CELL, F.lit(True).alias("__land"))

@@ -184,17 +184,12 @@ _MONTH_ROWS = f"SELECT lat_idx, lon_idx, CAST(date_trunc('month', time) AS DATE)
     rows_=_MONTH_ROWS,
 )
 def cf_histogram_monthly(spark: SparkSession, d: str) -> DataFrame:
-    """Monthly counts per unmasked cell between fixed edges, put back on the full grid; masked cells are null."""
-    mask = kept(dim_mask(spark, d), "mask")
-    cells = G.dense_cell_id(mask)
+    """Monthly counts per unmasked cell between fixed edges, on the full grid; masked cells are null."""
     rows = obs_hourly(spark, d).withColumn("cf", W.capacity_factor(c("ws"), "I")).withColumn("month", F.trunc(c("time").cast("date"), "month"))
-    counts = H.fixed_histogram(G.mask_compact(rows, mask, cells), "cf", ["cell", "month"], 30).select("cell", "month", "bin", "count")
-    months = rows.select("month").distinct()
-    grid = mask.select(*G.CELL, (c("mask") > 0.5).alias("land")).join(cells, G.CELL, "left")
-    spine = grid.crossJoin(G.small(months)).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(29))))
-    out = spine.join(counts, ["cell", "month", "bin"], "left")
-    count = F.when(c("land"), F.coalesce("count", F.lit(0)))
-    return out.select(*G.CELL, "month", "bin", rounded(c("bin") / 30.0).alias("lo"), rounded((c("bin") + 1) / 30.0).alias("hi"), count.alias("count"))
+    counts = kept(H.packed_counts(rows, "cf", [*G.CELL, "month"], 30), "counts")
+    grid = dim_mask(spark, d).select(*G.CELL, (c("mask") > 0.5).alias("land")).crossJoin(F.broadcast(counts.select("month").distinct()))  # twelve rows a year
+    out = grid.join(counts, [*G.CELL, "month"], "left").select(*G.CELL, "month", "land", F.posexplode(F.coalesce("counts", F.array_repeat(F.lit(0).cast("long"), 30))).alias("bin", "count"))
+    return out.select(*G.CELL, "month", "bin", rounded(c("bin") / 30.0).alias("lo"), rounded((c("bin") + 1) / 30.0).alias("hi"), F.when(c("land"), c("count")).alias("count"))
 
 
 @query(f"SELECT cell_id, bin, {r('count::DOUBLE / (sum(count) OVER (PARTITION BY cell_id) * (hi - lo))')} AS density FROM hist", src="SELECT * FROM obs_hourly", **_hist_sql("ws", "cell_id", 20))

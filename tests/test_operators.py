@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,45 @@ def test_latest_input_is_the_file_modified_last(spark, tmp_path):
             os.utime(f, (day * 86_400, day * 86_400))
     row = catalog.latest_input(spark, f"{tmp_path}/*").first()
     assert f"{tmp_path}/b/" in row["file"] and row["modified"].timestamp() == 3 * 86_400
+
+
+def test_nearest_axis_agrees_with_all_pairs(spark):
+    """Axes of any order and spacing, in and out of reach, with equal coordinates and empty ranges; ties by rule."""
+    rng = random.Random(4)
+    for size, prefer, reach in ((1, "smaller", False), (7, "larger", True), (40, "smaller", True), (300, "larger", False), (300, "smaller", False)):
+        own = [(i, rng.choice([rng.uniform(-50, 50), float(rng.randint(-20, 20)) / 2])) for i in range(120)]
+        other = [(i, y) for i, y in enumerate({float(rng.randint(-12, 12)) if rng.random() < 0.7 else rng.uniform(-400, 3) for _ in range(size)})]
+        ys = [y for _, y in other]
+        want = {}
+        for i, x in own:
+            if not reach or min(ys) <= x <= max(ys):
+                want[i] = min((abs(y - x), y if prefer == "smaller" else -y, j) for j, y in other)[2]
+        a = spark.createDataFrame([*own, (999, None)], "i int, x double").repartition(3)
+        b = spark.createDataFrame([*other, (999, None)], "j int, y double").repartition(3)
+        near = G.nearest_axis(a, b, "lat", prefer, reach)
+        assert {r["lat_idx"]: r["other_lat_idx"] for r in near.collect()} == want
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    pairs = [line for line in plan.splitlines() if "BroadcastNestedLoopJoin" in line or "CartesianProduct" in line]
+    assert all("BroadcastNestedLoopJoin" in line for line in pairs)  # only with the one row of ends
+    assert G.nearest_axis(a, b.where("false"), "lat", "smaller").count() == 0
+
+
+def test_small_tables_are_measured_in_bytes(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "id int, name string")
+    hinted = lambda d: "BroadcastHashJoin" in df.join(d, "id")._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert hinted(G.small(df)) and sorted(r["id"] for r in G.small(df).collect()) == [1, 2]
+        monkeypatch.setattr(G, "SMALL_BYTES", 1000)
+        assert not hinted(G.small(df)) and hinted(G.small(df.where("false")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_counts_equal_the_long_form(hours):
+    rows = hours.withColumn("cf", F.col("ws") / 30.0)
+    packed = {(r["cell_id"], i, n) for r in H.packed_counts(rows, "cf", ["cell_id"], 7).collect() for i, n in enumerate(r["counts"])}
+    assert packed == {(r["cell_id"], r["bin"], r["count"]) for r in H.fixed_histogram(rows, "cf", ["cell_id"], 7).collect()}
+    out = H.packed_counts(rows.where("cell_id = 1").withColumn("cf", F.lit(2.0)), "cf", ["cell_id"], 3).first()
+    assert out["counts"] == [0, 0, 0]
