@@ -55,32 +55,44 @@ def wrapped(lon: Column) -> Column:
     return F.pmod(lon + 180.0, F.lit(360.0)) - 180.0
 
 
-def nearest_axis(own: DataFrame, other: DataFrame, name: str, prefer: str, reach: bool = False) -> DataFrame:
-    """Axis map (idx -> other_idx) of nearest coordinates; `prefer` says which coordinate wins a tie.
-
-    own, other: distinct (idx, x) of one axis. Both are sorted together within ranges of the coordinate; a row looks at the
-    last smaller and the next larger coordinate of the other axis, which may lie in another range. reach: own
-    coordinates outside the other axis find nothing, as do null ones."""
-    a, b = own.toDF("idx", "x"), other.toDF("other_idx", "x").where("x IS NOT NULL")
-    ends = b.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))  # one row
-    both = a.where("x IS NOT NULL").select("idx", F.lit(None).cast(b.schema["other_idx"].dataType).alias("other_idx"), "x")
-    both = both.union(b.select(F.lit(None).cast(a.schema["idx"].dataType).alias("idx"), "other_idx", "x")).crossJoin(F.broadcast(ends))
+def axes(df: DataFrame) -> DataFrame:
+    """The distinct coordinates (axis, idx, x) of a grid's rows, both axes in one pass."""
+    one = lambda n: F.struct(F.lit(n).alias("axis"), F.col(f"{n}_idx").alias("idx"), F.col(n).alias("x"))
+    return df.select(F.explode(F.array(one("lat"), one("lon"))).alias("a")).select("a.*").distinct()
+
+
+def nearest_axes(own: DataFrame, other: DataFrame, prefer: str, reach: bool = False) -> DataFrame:
+    """Axis maps (axis, idx, other_idx) of nearest coordinates; `prefer` says which coordinate wins a tie.
+
+    own, other: distinct (axis, idx, x). Both are sorted together within ranges of an axis; a row looks at the last smaller
+    and the next larger coordinate of the other grid, which may lie in another range. reach: own coordinates outside
+    the other axis find nothing, as do null ones."""
+    b = other.where("x IS NOT NULL")
+    ends = b.groupBy("axis").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    none = lambda df: F.lit(None).cast(df.schema["idx"].dataType)
+    both = own.where("x IS NOT NULL").select("axis", "idx", none(b).alias("other_idx"), "x")
+    both = both.union(b.select("axis", none(own).alias("idx"), F.col("idx").alias("other_idx"), "x")).join(F.broadcast(ends), "axis")  # a row for each axis
     if reach:
         both = both.where("x BETWEEN lo AND hi")
     part = F.coalesce(F.try_divide((F.col("x") - F.col("lo")) * BANDS, F.col("hi") - F.col("lo")), F.lit(0.0))
     both = both.withColumn("band", F.least(F.greatest(F.floor(part), F.lit(0)), F.lit(BANDS - 1)).cast("int"))
     known = F.when(F.col("other_idx").isNotNull(), F.struct(F.col("x").alias("y"), "other_idx"))
-    met = lambda order: F.last(known, ignorenulls=True).over(Window.partitionBy("band").orderBy(order, F.col("other_idx").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    met = lambda order: F.last(known, ignorenulls=True).over(Window.partitionBy("axis", "band").orderBy(order, F.col("other_idx").isNull()).rowsBetween(Window.unboundedPreceding, 0))
     rows = both.withColumn("below", met(F.col("x").asc())).withColumn("above", met(F.col("x").desc()))
-    # What the ranges before and behind hold: BANDS rows, whatever the axis.
-    held = both.sparkSession.range(BANDS).select(F.col("id").cast("int").alias("band")).join(both.groupBy("band").agg(F.max(known).alias("top"), F.min(known).alias("bottom")), "band", "left")
-    edge = lambda side, order: F.last(side, ignorenulls=True).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    held = held.select("band", edge("top", F.col("band").asc()).alias("before"), edge("bottom", F.col("band").desc()).alias("behind"))
-    rows = rows.where("idx IS NOT NULL").join(F.broadcast(held), "band").withColumn("below", F.coalesce("below", "before")).withColumn("above", F.coalesce("above", "behind"))
-    down, up = F.col("x") - F.col("below.y"), F.col("above.y") - F.col("x")
-    first = down <= up if prefer == "smaller" else down < up
-    near = F.when(F.col("above").isNull() | first, F.col("below")).otherwise(F.col("above"))
-    return rows.where("below IS NOT NULL OR above IS NOT NULL").select("idx", near["other_idx"].alias("other_idx")).toDF(f"{name}_idx", f"other_{name}_idx")
+    # What the ranges before and behind hold: BANDS rows for each axis.
+    held = both.groupBy("axis", "band").agg(F.max(known).alias("top"), F.min(known).alias("bottom"))
+    edge = lambda side, order: F.last(side, ignorenulls=True).over(Window.partitionBy("axis").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    held = held.select("axis", "band", edge("top", F.col("band").asc()).alias("before"), edge("bottom", F.col("band").desc()).alias("behind"))
+    rows = rows.where("idx IS NOT NULL").join(F.broadcast(held), ["axis", "band"])
+    below, above = F.coalesce("below", "before"), F.coalesce("above", "behind")
+    down, up = F.col("x") - below["y"], above["y"] - F.col("x")
+    near = F.when(above.isNull() | (down <= up if prefer == "smaller" else down < up), below).otherwise(above)
+    return rows.select("axis", "idx", near["other_idx"].alias("other_idx")).where("other_idx IS NOT NULL")
+
+
+def axis_map(near: DataFrame, name: str) -> DataFrame:
+    """One axis of nearest_axes: (lat_idx, other_lat_idx) or the like."""
+    return near.where(F.col("axis") == name).select(F.col("idx").alias(f"{name}_idx"), F.col("other_idx").alias(f"other_{name}_idx"))
 
 
 def axis(df: DataFrame, name: str) -> DataFrame:
@@ -90,15 +102,11 @@ def axis(df: DataFrame, name: str) -> DataFrame:
 def onshore_mask(df: DataFrame, mask: DataFrame, values: list[str]) -> DataFrame:
     """Null the values of cells whose nearest mask cell is not above 0.5, or that lie outside the mask.
 
-    Nearest per axis, ties to the smaller coordinate; the axis maps are tiny, so the
-    grid itself never meets the mask by distance."""
-    cells = kept(df.select("lat_idx", "lat", "lon_idx", "lon").distinct(), "cells")
-    lat = nearest_axis(axis(cells, "lat"), axis(mask, "lat"), "lat", "smaller", reach=True)
-    lon = nearest_axis(axis(cells, "lon"), axis(mask, "lon"), "lon", "smaller", reach=True)
-    land = cells.join(lat, "lat_idx").join(lon, "lon_idx").join(
-        mask.select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"), "mask"), ["other_lat_idx", "other_lon_idx"]
-    )
-    land = land.where("mask > 0.5").select(*CELL, F.lit(True).alias("__land"))
+    Nearest per axis, ties to the smaller coordinate. The grid's axes meet the mask's, and land cells of the mask become
+    those of the grid by the axis maps, so hours never meet the mask by distance."""
+    near = small(nearest_axes(axes(df), axes(mask), "smaller", reach=True))
+    land = mask.where("mask > 0.5").select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"))
+    land = land.join(axis_map(near, "lat"), "other_lat_idx").join(axis_map(near, "lon"), "other_lon_idx").select(*CELL, F.lit(True).alias("__land"))
     out = df.join(small(land), CELL, "left")
     return out.select(*[F.when(F.col("__land"), F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns])
 
@@ -107,10 +115,12 @@ def regrid_nearest(df: DataFrame, lat: DataFrame, lon: DataFrame, values: list[s
     """Values on a target grid, each cell taking its nearest source cell (per axis, ties to the smaller coordinate).
 
     lat, lon: target axes (idx, coordinate)."""
-    near_lat = nearest_axis(lat, axis(df, "lat"), "lat", "smaller").join(lat.toDF("lat_idx", "lat"), "lat_idx")
-    near_lon = nearest_axis(lon, axis(df, "lon"), "lon", "smaller").join(lon.toDF("lon_idx", "lon"), "lon_idx")
+    target = lat.toDF("idx", "x").select(F.lit("lat").alias("axis"), "idx", "x").union(lon.toDF("idx", "x").select(F.lit("lon").alias("axis"), "idx", "x"))
+    near = nearest_axes(target, axes(df), "smaller").join(target, ["axis", "idx"])
+    near = small(near)
+    side = lambda n: near.where(F.col("axis") == n).select(F.col("other_idx").alias(f"other_{n}_idx"), F.col("idx").alias(f"{n}_idx"), F.col("x").alias(n))
     source = df.select(F.col("lat_idx").alias("other_lat_idx"), F.col("lon_idx").alias("other_lon_idx"), *[c for c in df.columns if c in values or c not in ("lat", "lon", *CELL)])
-    return source.join(small(near_lat), "other_lat_idx").join(small(near_lon), "other_lon_idx").drop("other_lat_idx", "other_lon_idx")
+    return source.join(side("lat"), "other_lat_idx").join(side("lon"), "other_lon_idx").drop("other_lat_idx", "other_lon_idx")
 
 
 def dense_cell_id(mask: DataFrame) -> DataFrame:

@@ -156,14 +156,20 @@ def test_nearest_axis_agrees_with_all_pairs(spark):
         for i, x in own:
             if not reach or min(ys) <= x <= max(ys):
                 want[i] = min((abs(y - x), y if prefer == "smaller" else -y, j) for j, y in other)[2]
-        a = spark.createDataFrame([*own, (999, None)], "i int, x double").repartition(3)
-        b = spark.createDataFrame([*other, (999, None)], "j int, y double").repartition(3)
-        near = G.nearest_axis(a, b, "lat", prefer, reach)
-        assert {r["lat_idx"]: r["other_lat_idx"] for r in near.collect()} == want
+        both = lambda rows: spark.createDataFrame([(n, i, x if x is None or n == "lat" else -x) for n in ("lat", "lon") for i, x in [*rows, (999, None)]], "axis string, idx int, x double").repartition(3)
+        near = G.nearest_axes(both(own), both(other), prefer, reach)
+        assert {r["lat_idx"]: r["other_lat_idx"] for r in G.axis_map(near, "lat").collect()} == want
+        assert set(want) == {r["lon_idx"] for r in G.axis_map(near, "lon").collect()}
     plan = near._jdf.queryExecution().executedPlan().toString()
-    pairs = [line for line in plan.splitlines() if "BroadcastNestedLoopJoin" in line or "CartesianProduct" in line]
-    assert all("BroadcastNestedLoopJoin" in line for line in pairs)  # only with the one row of ends
-    assert G.nearest_axis(a, b.where("false"), "lat", "smaller").count() == 0
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert G.nearest_axes(both(own), both([]), "smaller").count() == 0
+
+
+def test_regridding_repeats_and_reorders_cells(spark):
+    df = grid(spark, [10.0, 20.0, 30.0], [0.0, 5.0]).withColumn("ws", F.col("lat") + F.col("lon"))
+    lat, lon = spark.createDataFrame([(0, 31.0), (1, 15.0), (2, -90.0)], "i int, x double"), spark.createDataFrame([(0, 2.5), (1, 2.6)], "i int, x double")
+    got = {(r["lat"], r["lon"]): r["ws"] for r in G.regrid_nearest(df, lat, lon, ["ws"]).collect()}
+    assert got == {(31.0, 2.5): 30.0, (31.0, 2.6): 35.0, (15.0, 2.5): 10.0, (15.0, 2.6): 15.0, (-90.0, 2.5): 10.0, (-90.0, 2.6): 15.0}
 
 
 def test_small_tables_are_measured_in_bytes(spark, monkeypatch):
