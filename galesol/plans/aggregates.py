@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from galesol.functions import weather as T, wind as W
 from galesol.functions.calendar import SCALES
-from galesol.operators import grid as G, histogram as H, temporal as A
+from galesol.operators import climate_store, grid as G, histogram as H, selection, temporal as A
 from galesol.plans.columns import CDD, HDD, power_sql
 from galesol.plans.joins import _CLIM, POINT_SQL
 from galesol.plans.registry import query, r
-from galesol.sources.catalog import kept
+from galesol.sources.catalog import kept, shared_path
 from galesol.sources.fixtures import dim_mask, obs_daily, obs_hourly, rounded
 
 c = F.col
@@ -63,6 +63,28 @@ def percentile(spark: SparkSession, d: str) -> DataFrame:
     return A.percentile(obs_hourly(spark, d), "ws", 90.0, ["cell_id"]).select("cell_id", rounded(c("percentile")).alias("percentile"))
 
 
+@query(f"SELECT {r('quantile_cont(ws, 9e-1)')} AS percentile FROM obs_hourly")
+def percentile_of_all(spark: SparkSession, d: str) -> DataFrame:
+    """One group of all rows, exact."""
+    return selection.exact_percentile(obs_hourly(spark, d), "ws", 90.0, []).select(rounded(c("percentile")).alias("percentile"))
+
+
+@query(f"SELECT lat_idx, {r('quantile_cont(power / rated, 3.75e-1)')} AS percentile FROM p GROUP BY lat_idx", p=power_sql("obs_hourly", ["I"]))
+def percentile_selected(spark: SparkSession, d: str) -> DataFrame:
+    """Exact capacity factors of large groups, many values being equal."""
+    rows = obs_hourly(spark, d).withColumn("cf", W.capacity_factor(c("ws"), "I"))
+    return selection.exact_percentile(rows, "cf", 37.5, ["lat_idx"]).select("lat_idx", rounded(c("percentile")).alias("percentile"))
+
+
+@query(f"SELECT cell_id, month(day)::INTEGER AS month, day(day)::INTEGER AS dom, {r('avg(ws)')} AS ws FROM obs_daily WHERE NOT (month(day) = 2 AND day(day) = 29) AND year(day) BETWEEN 1997 AND 2001 GROUP BY 1, 2, 3")
+def climatology_rolling(spark: SparkSession, d: str) -> DataFrame:
+    """Five years of a climatology that years were added to."""
+    days, path = obs_daily(spark, d), shared_path(spark, "climate")
+    climate_store.add_years(days.where("year(day) < 2000"), path, "ws", ["cell_id"])
+    out = climate_store.rolling(days.where("year(day) >= 2000"), path, "ws", ["cell_id"], 5)
+    return out.select("cell_id", "month", "dom", rounded(c("ws")).alias("ws"))
+
+
 @query(f"SELECT cell_id, CASE WHEN count(x) = count(*) THEN {r('avg(x)')} END AS mean FROM (SELECT cell_id, CASE WHEN cell_id % 4 = 0 AND ws < 1 THEN NULL ELSE ws END AS x FROM obs_hourly) GROUP BY cell_id")
 def time_mean(spark: SparkSession, d: str) -> DataFrame:
     rows = obs_hourly(spark, d).withColumn("x", F.when(~((c("cell_id") % 4 == 0) & (c("ws") < 1)), c("ws")))

@@ -8,7 +8,7 @@ from galesol.functions import turbines, wind as W
 from galesol.operators import grid as G, temporal
 from galesol.plans.columns import KEY
 from galesol.plans.registry import query, r
-from galesol.sources import catalog, grid as S
+from galesol.sources import catalog, curves, grid as S, intake
 from galesol.sources.fixtures import dim_mask, obs_daily, obs_hourly, rounded
 
 c = F.col
@@ -42,6 +42,55 @@ def scan_power_curve(spark: SparkSession, d: str) -> DataFrame:
     return curve.join(seen, "k", "left").select("iec_class", "wind_speed", "power", F.coalesce("n", F.lit(0)).cast("long").alias("n_obs"))
 
 
+#: A curve as it is, and one whose knots are spaced unevenly.
+_USER = {"even": ("I", list(range(len(turbines.CURVES["I"][1])))), "uneven": ("S", [i for i in range(len(turbines.CURVES["S"][1])) if i % 3 or i == 0])}
+_USER_KNOTS = [(name, turbines.CURVES[k][0] + turbines.STEP * i, float(turbines.CURVES[k][1][i])) for name, (k, used) in _USER.items() for i in used]
+_USER_SPECS = [(name, t.rated_power, t.cut_in, t.rated_speed, t.cut_out) for name, (k, _) in _USER.items() for t in [turbines.turbine(k)]]
+_KNOT_ROWS = ", ".join(f"('{n}', {x!r}::DOUBLE, {y!r}::DOUBLE)" for n, x, y in _USER_KNOTS)
+_USER_ROWS = ", ".join(f"('{n}', {p}::DOUBLE, {a!r}::DOUBLE, {b!r}::DOUBLE, {z!r}::DOUBLE)" for n, p, a, b, z in _USER_SPECS)
+
+
+def _end_sql(h: str, d: str, fh: str, fd: str) -> str:
+    m = f"(((2 * {h} + {fh}) * {d} - {h} * {fd}) / ({h} + {fh}))"
+    return f"CASE WHEN {m} * {d} <= 0 THEN 0e0 WHEN {d} * {fd} <= 0 AND abs({m}) > abs(3 * {d}) THEN 3 * {d} ELSE {m} END"
+
+
+@query(
+    f"""SELECT event_id, o.curve, {r('CASE WHEN ws < cut_in THEN 0e0 WHEN ws <= rated_speed THEN least(y + (ws - x) * (m + (ws - x) * (c + (ws - x) * b)), rated) WHEN ws <= cut_out THEN rated ELSE 0e0 END')} AS power
+  FROM (SELECT *, CASE event_id % 2 WHEN 0 THEN 'even' ELSE 'uneven' END AS curve FROM obs_hourly) o JOIN (VALUES {_USER_ROWS}) s(curve, rated, cut_in, rated_speed, cut_out) ON s.curve = o.curve
+  JOIN pieces p ON p.curve = o.curve AND (ws >= x OR n = 1) AND (ws < x1 OR x1 = x_last)""",
+    s1=f"SELECT *, lead(x) OVER w AS x1, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS d, row_number() OVER w AS n, max(x) OVER (PARTITION BY curve) AS x_last FROM (VALUES {_KNOT_ROWS}) k(curve, x, y) WINDOW w AS (PARTITION BY curve ORDER BY x)",
+    s2="SELECT *, lag(h) OVER w AS hp, lag(d) OVER w AS dp, lag(h, 2) OVER w AS hq, lag(d, 2) OVER w AS dq, lead(h) OVER w AS hn, lead(d) OVER w AS dn FROM s1 WINDOW w AS (PARTITION BY curve ORDER BY x)",
+    s3=f"SELECT *, CASE WHEN dp IS NULL THEN {_end_sql('h', 'd', 'hn', 'dn')} WHEN d IS NULL THEN {_end_sql('hp', 'dp', 'hq', 'dq')} WHEN dp * d <= 0 THEN 0e0 ELSE (3 * h + 3 * hp) / ((2 * h + hp) / dp + (h + 2 * hp) / d) END AS m FROM s2",
+    s4="SELECT *, lead(m) OVER (PARTITION BY curve ORDER BY x) AS m1 FROM s3",
+    pieces="SELECT curve, n, x, x1, x_last, y, m, (3 * d - 2 * m - m1) / h AS c, (m - 2 * d + m1) / (h * h) AS b FROM s4 WHERE x1 IS NOT NULL",
+)
+def user_power_curve(spark: SparkSession, d: str) -> DataFrame:
+    """Power by curves read from files, one with uneven knots."""
+    path = catalog.shared_path(spark, "curves")
+    for name in _USER:
+        text = "\n".join([f"{name},", "wind_speed,power", *[f"{x},{y}" for n, x, y in reversed(_USER_KNOTS) if n == name]])
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+    pieces = curves.cubic_pieces(curves.read_power_curves(spark, path))
+    specs = spark.createDataFrame(_USER_SPECS, "curve string, rated_power int, cut_in double, rated_speed double, cut_out double")
+    hours = obs_hourly(spark, d).withColumn("curve", F.when(c("event_id") % 2 == 0, "even").otherwise("uneven"))
+    return curves.power_by_curve(hours, pieces, specs).select("event_id", "curve", rounded(c("power")).alias("power"))
+
+
+@query("SELECT event_id, cell_id, ws FROM obs_hourly WHERE CAST(time AS DATE) IN (SELECT CAST(time AS DATE) FROM obs_hourly GROUP BY 1 HAVING count(DISTINCT hour(time)) = 24)")
+def intake_complete_days(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of complete days, from files that came in two deliveries."""
+    source, out = catalog.shared_path(spark, "source"), catalog.shared_path(spark, "complete")
+    desk = intake.Intake(spark, source, catalog.shared_path(spark, "intake"))
+    hours = obs_hourly(spark, d)
+    for part in (c("event_id") % 3 < 2, c("event_id") % 3 == 2):
+        hours.where(part).write.mode("append").parquet(source)
+        desk.take()
+    desk.release(lambda rows: catalog.write_indicator(rows, out, "day"))
+    done = spark.read.schema("event_id long, cell_id int, ws double, day date").parquet(out) if desk.released().take(1) else hours.where("false")
+    return done.select("event_id", "cell_id", "ws")
+
+
 @query("SELECT lat_idx, lon_idx, lat, lon, mask FROM dim_mask")
 def scan_mask(spark: SparkSession, d: str) -> DataFrame:
     return dim_mask(spark, d).select("lat_idx", "lon_idx", "lat", "lon", "mask")
