@@ -24,21 +24,28 @@ def convert_radiation(g: Column, unit: Column) -> Column:
     return F.when(unit == "J m**-2", g / 3600.0).otherwise(g)
 
 
-def cooling_degree_days(tm: Column, tx: Column, tn: Column, base: float = 22.0) -> Column:
+def _known(value: Column, null_as_zero: bool, *needed: Column) -> Column:
+    known = F.lit(True)
+    for x in needed:
+        known = known & x.isNotNull()
+    return F.coalesce(F.when(known, value), F.lit(0.0)) if null_as_zero else F.when(known, value)
+
+
+def cooling_degree_days(tm: Column, tx: Column, tn: Column, base: float = 22.0, null_as_zero: bool = False) -> Column:
     """Terms add up: they overlap only where tm lies outside [tn, tx]."""
     b, zero = F.lit(base), F.lit(0.0)
     quarter = F.when((tm <= b) & (b < tx), (tx - b) / 4.0).otherwise(zero)
     half = F.when((tn <= b) & (b < tm), (tx - b) / 2.0 - (b - tn) / 4.0).otherwise(zero)
     full = F.when(b < tn, tm - b).otherwise(zero)
-    return F.when(tm.isNotNull() & tx.isNotNull() & tn.isNotNull(), quarter + half + full)
+    return _known(quarter + half + full, null_as_zero, tm, tx, tn)
 
 
-def heating_degree_days(tm: Column, tx: Column, tn: Column, base: float = 15.5) -> Column:
+def heating_degree_days(tm: Column, tx: Column, tn: Column, base: float = 15.5, null_as_zero: bool = False) -> Column:
     b, zero = F.lit(base), F.lit(0.0)
     full = F.when(b >= tx, b - tm).otherwise(zero)
     half = F.when((tm <= b) & (b < tx), (b - tn) / 2.0 - (tx - b) / 4.0).otherwise(zero)
     quarter = F.when((tn <= b) & (b < tm), (b - tn) / 4.0).otherwise(zero)
-    return F.when(tm.isNotNull() & tx.isNotNull() & tn.isNotNull(), full + half + quarter)
+    return _known(full + half + quarter, null_as_zero, tm, tx, tn)
 
 
 def pv_potential(t_c: Column, g: Column, ws: Column) -> Column:

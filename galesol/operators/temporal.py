@@ -22,9 +22,12 @@ def daily_stats(df: DataFrame, value: str, keys: list[str], time: str = "time")
     return df.groupBy(*keys, F.col(time).cast("date").alias("day")).agg(F.avg(v).alias("mean"), F.max(v).alias("max"), F.min(v).alias("min"))
 
 
-def count_where(df: DataFrame, hit: Column, value: str, keys: list[str]) -> DataFrame:
-    """n_hits, and n_valid rows, per key; null values are no hits."""
-    return df.groupBy(*keys).agg(F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias("n_hits"), F.count(value).alias("n_valid"))
+def count_where(df: DataFrame, hit: Column, value: str, keys: list[str], extra: list[Column] | None = None, null_as_zero: bool = True) -> DataFrame:
+    """n_hits, and n_valid rows, per key; null values are no hits. Without null_as_zero, a key that has only nulls has null hits.
+
+    extra: further aggregates."""
+    hits = F.sum(F.when(hit, 1).otherwise(0)).cast("long")
+    return df.groupBy(*keys).agg((hits if null_as_zero else F.when(F.count(value) > 0, hits)).alias("n_hits"), F.count(value).alias("n_valid"), *(extra or []))
 
 
 def percentile(df: DataFrame, value: str, p: float, keys: list[str], approximate: bool = False) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from galesol import jobs
 from galesol.functions import turbines, wind as W
 from galesol.operators import grid as G, temporal
-from galesol.plans.columns import KEY
+from galesol.plans.columns import KEY, power_sql
 from galesol.plans.registry import query, r
-from galesol.sources import catalog, curves, grid as S, intake
+from galesol.sources import catalog, curves, grid as S, intake, layout
 from galesol.sources.fixtures import dim_mask, obs_daily, obs_hourly, rounded
 
 c = F.col
@@ -271,3 +272,57 @@ POINT_SQL = """SELECT * FROM obs_hourly WHERE lat_idx = (SELECT lat_idx FROM (SE
 @query("SELECT event_id, lat, lon, ws FROM pt", pt=POINT_SQL)
 def select_point(spark: SparkSession, d: str) -> DataFrame:
     return G.select_point(obs_hourly(spark, d), 41.25, 4.5).select("event_id", "lat", "lon", "ws")
+
+
+_IN_PERIOD = "SELECT * REPLACE (sqrt(u * u + v * v) AS ws) FROM obs_hourly WHERE time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-13'"
+
+
+def _period(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """What a run over a week, masked by a grid that lies off the data's, has written; run twice."""
+    source, out = catalog.shared_path(spark, "grid"), catalog.shared_path(spark, "period")
+    catalog.write_indicator(obs_hourly(spark, d).withColumn("date", c("time").cast("date")), source)
+    moved = dim_mask(spark, d).withColumn("lat", c("lat") + 0.4).withColumn("lon", c("lon") + 0.4)
+    for _ in range(2):
+        jobs.run_period(spark, source, name, "2024-01-05", "2024-01-12", out, moved)
+    return spark.read.parquet(f"{out}/{jobs.INDICATORS[name].short}")
+
+
+_LAND = "SELECT a.idx AS lat_idx, b.idx AS lon_idx FROM near_lat a CROSS JOIN near_lon b JOIN dim_mask m ON m.lat_idx = a.other AND m.lon_idx = b.other WHERE mask > 5e-1"
+
+
+@query(
+    f"SELECT time, p.lat_idx, p.lon_idx, {r('CASE WHEN l.lat_idx IS NOT NULL THEN power / rated END')} AS cf FROM p LEFT JOIN land l ON l.lat_idx = p.lat_idx AND l.lon_idx = p.lon_idx",
+    near_lat=_near("lat").replace("FROM obs_hourly", "FROM (SELECT * FROM obs_hourly WHERE time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-13')"),
+    near_lon=_near("lon").replace("FROM obs_hourly", "FROM (SELECT * FROM obs_hourly WHERE time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-13')"),
+    land=_LAND,
+    week_=_IN_PERIOD,
+    p=power_sql("week_", ["I"]),
+)
+def period_capacity_factor(spark: SparkSession, d: str) -> DataFrame:
+    return _period(spark, d, "capacity_factor_i").select("time", *G.CELL, rounded(c("cf_I")).alias("cf"))
+
+
+@query(
+    "SELECT w.lat_idx, w.lon_idx, count(l.lat_idx) AS n_valid, CASE WHEN count(l.lat_idx) > 0 THEN sum(CASE WHEN ws < 3 AND l.lat_idx IS NOT NULL THEN 1 ELSE 0 END)::BIGINT END AS lwe FROM week_ w LEFT JOIN land l ON l.lat_idx = w.lat_idx AND l.lon_idx = w.lon_idx GROUP BY 1, 2",
+    near_lat=_near("lat"),
+    near_lon=_near("lon"),
+    land=_LAND,
+    week_=_IN_PERIOD,
+)
+def period_low_wind_events(spark: SparkSession, d: str) -> DataFrame:
+    return _period(spark, d, "low_wind_events").select(*G.CELL, "n_valid", "lwe")
+
+
+@query(f"SELECT o.cell_id, o.day, {r('o.tm')} AS tm, {r('o.ws - c.ws')} AS departure FROM obs_daily o JOIN clim c ON o.cell_id = c.cell_id AND month(o.day) = c.month AND day(o.day) = c.dom", clim=_CLIM)
+def layout_joins(spark: SparkSession, d: str) -> DataFrame:
+    """Two variables and a climatology, each laid out by cell, joined where they lie."""
+    days = obs_daily(spark, d)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    clim = temporal.daily_climatology(days, "ws", ["cell_id"]).withColumnRenamed("ws", "base")
+    ws, tm = (layout.lay_out(days.select("cell_id", "day", v), n, ["cell_id"], ["day"]) for v in ("ws", "tm"))
+    base = layout.lay_out(clim, n, ["cell_id"], ["month", "dom"])
+    with layout.joined_by_cell(spark):
+        both = temporal.climatology_join(ws.join(tm, ["cell_id", "day"]), base, ["cell_id"])
+        out = both.select("cell_id", "day", rounded(c("tm")).alias("tm"), rounded(c("ws") - c("base")).alias("departure"))
+        out._jdf.queryExecution().executedPlan()
+        return out
