@@ -35,7 +35,8 @@ def power_output(ws: Column, iec_class: str, null_as_zero: bool = False) -> Colu
     """Power in kW. Knots are evenly spaced, so a literal array indexed by speed holds each cubic: no join."""
     t, cubic = turbine(iec_class), pieces(iec_class)
     k = F.least(F.greatest(F.floor((ws - cubic[0].x) / STEP), F.lit(0)), F.lit(len(cubic) - 1)).cast("int")
-    at = lambda name: F.get(F.array(*[F.lit(float(getattr(p, name))) for p in cubic]), k)
+    # One parsed array a coefficient: a call for every literal would take longer than the rows of a day.
+    at = lambda name: F.get(F.expr(f"array({', '.join(f'{float(getattr(p, name))!r}D' for p in cubic)})"), k)
     d = ws - at("x")
     curve = F.least(at("y") + d * (at("m") + d * (at("c") + d * at("b"))), F.lit(float(t.rated_power)))
     value = F.when(ws < t.cut_in, F.lit(0.0)).when(ws <= t.rated_speed, curve).when(ws <= t.cut_out, F.lit(float(t.rated_power))).otherwise(F.lit(0.0))
