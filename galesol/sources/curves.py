@@ -32,9 +32,8 @@ def cubic_pieces(knots: DataFrame) -> DataFrame:
     step = step.withColumn("x1", F.lead("x").over(w)).withColumn("y1", F.lead("y").over(w)).withColumn("k", F.row_number().over(w) - 1)
     step = step.withColumn("h", F.col("x1") - F.col("x")).withColumn("d", F.try_divide(F.col("y1") - F.col("y"), F.col("h")))
     for name in ("h", "d"):
-        for far, of in ((1, F.lag), (2, F.lag)):
-            step = step.withColumn(f"{name}_{far}", of(name, far).over(w))
-        step = step.withColumn(f"{name}1", F.lead(name, 1).over(w))
+        near = {f"{name}_1": F.lag(name, 1), f"{name}_2": F.lag(name, 2), f"{name}1": F.lead(name, 1)}
+        step = step.withColumns({n: f.over(w) for n, f in near.items()})
     c = F.col
 
     def end(near_h: Column, near_d: Column, far_h: Column, far_d: Column) -> Column:
