@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from galesol.llm import lloyd, phrases, url_filter
+import corpus_pipeline
+from galesol.llm import lloyd, packing, phrases, url_filter, vafile
 from galesol.llm.url_filter import Rule
 from tests.llm.test_small_operators import ODD, frame
 
@@ -274,3 +275,57 @@ def test_a_round_moves_no_shards(spark, sf):
         # Every exchange is of labels, partial distances by chunk, or ids; none deals out cells.
         below = [plan[m.start() :].split("\n")[1] for m in re.finditer(r"Exchange hashpartitioning", plan)]
         assert below and not any("FileScan" in x and "cells" in x for x in below), plan
+
+
+# --- earlier operators: plain versions and clashing names that were not covered
+
+
+def plain_two_fit(sizes, limit):
+    """Pieces of each sequence by looking at every piece and every pair."""
+    left, out = sorted(sizes, reverse=True), []
+    while left:
+        held, gap = [], limit
+        for size in list(left):
+            if size <= gap:
+                held.append(size)
+                left.remove(size)
+                gap -= size
+        least = held[-1]
+        pairs = [(a + b, b, a) for i, a in enumerate(left) for b in left[i + 1 :] if least < a + b <= gap + least] if gap else []
+        if pairs:
+            _, b, a = max(pairs)
+            left.remove(a)
+            left.remove(b)
+            held = [*held[:-1], a, b]
+            left = sorted([*left, least], reverse=True)
+        out.append(held)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_best_two_fit_matches_a_plain_search(seed):
+    rng = random.Random(seed)
+    limit = rng.choice([7, 16, 40])
+    sizes = [rng.choice([rng.randint(1, limit), rng.randint(1, max(limit // 4, 1))]) for _ in range(rng.randint(0, 60))]
+    number, offset = packing.best_two_fit(np.array(sizes, dtype=np.int64), limit)
+    got = [[s for _, s in sorted((o, s) for n, o, s in zip(number, offset, sizes) if n == k)] for k in range(len(set(number.tolist())))]
+    assert got == plain_two_fit(sizes, limit)
+    assert sum(map(len, got)) == len(sizes) and all(sum(x) <= limit for x in got)
+
+
+def test_top_k_with_clashing_names(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i % 70, [float(x) for x in rng.normal(size=6)]) for i in range(90)] + [(None, [1.0] * 6), (100, None)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clash = plain
+    for name in ("row", "q", "v", "dim", "i", "j", "query", "rank", "score"):
+        clash = clash.withColumn(name, F.lit(name))
+    of = lambda df: sorted(map(tuple, vafile.exact_top_k(df, F.col("vec_id") % 10 == 0, k=3).collect()))
+    assert of(clash) == of(plain) and len(of(plain)) == 3 * sum(i is not None and v is not None and i % 10 == 0 for i, v in rows)
+
+
+def test_stages_with_clashing_names(spark, sf):
+    docs = frame(spark, [(i, f"some words of document number {i} and a line\nsaid once {i * 7} " * 3) for i in range(30)], clash=True)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS and out.count() <= 30, name
