@@ -27,9 +27,9 @@ class Intake:
     partitions if it is taken again after a failure, and the manifest is written last, so nothing is lost or taken twice.
     Files don't change: one that is there with another size or time is an error."""
 
-    def __init__(self, spark: SparkSession, source: str, folder: str, steps: int = 24, time: str = "time", keys: list[str] | None = None):
-        """steps: distinct steps of a day, of every key if keys are given, that make it complete."""
-        self.spark, self.source, self.folder, self.steps, self.time, self.keys = spark, source, folder, steps, time, keys or []
+    def __init__(self, spark: SparkSession, source: str, folder: str, steps: int = 24, unit: str = "hour", time: str = "time", keys: list[str] | None = None):
+        """steps: distinct units of time (hours) of a day, of every key if keys are given, that make it complete."""
+        self.spark, self.source, self.folder, self.steps, self.unit, self.time, self.keys = spark, source, folder, steps, unit, time, keys or []
 
     def manifest(self) -> DataFrame:
         path = f"{self.folder}/manifest"
@@ -65,7 +65,7 @@ class Intake:
         """Complete days (day) that aren't released; a day that lacks a step, or one of any key, waits."""
         if not _exists(self.spark, f"{self.folder}/rows"):
             return self.spark.createDataFrame([], "day date")
-        step = F.date_trunc("hour", F.col(self.time)) if self.steps == 24 else F.col(self.time)
+        step = F.date_trunc(self.unit, F.col(self.time))
         waiting = self.rows().join(F.broadcast(self.released()), "day", "left_anti")  # 366 a year
         per = waiting.groupBy("day", *self.keys).agg(F.count_distinct(step).alias("n"))
         whole = per.groupBy("day").agg(F.min("n").alias("n"), F.count("*").alias("k"))

@@ -4,7 +4,7 @@ Every batch of a stream is kept, by day. A day is published when the watermark p
 end. Rows of days that are over already go to a side table, and their days, only those, are
 worked out again from all that was kept and replaced. What a batch does depends on its
 rows and on earlier batches alone, and it overwrites its own partitions, so a batch
-that runs twice changes nothing.
+that runs twice changes nothing. Rows without a time are kept, but belong to no day that is published.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ class Restated:
         """per_day: a batch aggregation of rows that carry `day`, keeping `day` among its columns."""
         self.spark, self.per_day, self.delay = spark, per_day, delay
         self.folder = folder or shared_path(spark, "restated")
-        self.schema = None
 
     def _read(self, name: str, ddl) -> DataFrame | None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")

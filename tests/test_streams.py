@@ -111,6 +111,7 @@ def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
     days.take(frame(rows[1::2]), 1)
     assert published(days) == want == days_of(spark, rows, max(r[1] for r in rows) - dt.timedelta(days=1)) and days.late().count() == late > 0
     days.take(frame([]), 2)
+    days.take(frame([(1, None, 0.5)]), 3)
     assert published(days) == want
 
 
