@@ -1,22 +1,23 @@
 """Repeated-substring removal: every byte inside a string of `length` bytes that starts elsewhere too.
 
-The named method sorts the suffixes of sampled positions first and induces the
-rest from them. Here the same order of work is kept with Spark's shuffles in the
-place of disk-backed queues, and comparisons end at `length` bytes, because no
-longer common prefix matters:
+Strings that start elsewhere too are those whose suffix shares `length` bytes with a
+neighbour in suffix order. Spark cuts the corpus into shards within which all such
+neighbours lie, and each shard is sorted by external induction (`induced.py`):
 
 1. Sample. A window of `length` bytes has one anchor, chosen by its content alone
    (least hashed `GRAM`-byte string among its first starts), so equal windows have equal anchors at
    equal offsets. About one position in a hundred is sampled.
-2. Name. Anchors get names from the string at the anchor; names that occur once
-   end here. The others get class names from the whole span of the windows they serve.
-3. Induce. A class that occurs twice repeats in all its windows. Other classes
-   of a name that several share are resolved window by window: the anchor's name, the offset
-   and the window's name stand for the common prefix.
+2. Cut. Anchors get names from the string at the anchor; names that occur once
+   end here. The others get class names from the whole span of the windows they
+   serve, and spans of one class are told from one of them. A class that
+   occurs twice repeats in all its windows.
+3. Sort. Spans of the classes of a name meet in a shard. Disk-backed queues
+   carry their suffixes and common prefixes through recursive induction; starts whose
+   common prefix with a neighbour is `length` or more repeat. A name with more than
+   `GROUP_CLASSES` classes would be a shard of its own: its windows are counted by hash instead.
 4. Cover. Repeated starts of a document are merged into removed runs.
 
-Names are 64-bit hashes over bytes; what counts as equal is a name within an equal
-anchor name, so more than 64 bits decide.
+Anchors, spans and the windows of such large names are told apart by 64-bit hashes; the sort compares bytes.
 
 Null text is an empty text; texts shorter than `length` have no windows. Rows that
 repeat a doc_id are told apart by a hash of their text, and rows equal in both are
@@ -25,6 +26,9 @@ places of their own that repeat each other. An empty table gives an empty result
 
 from __future__ import annotations
 
+import os
+import random
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from galesol.llm.common import discard, prepare, small_side, stored
+from galesol.llm.induced import Table, repeated
 from galesol.llm.lines import keyed
 from galesol.llm.shingles import BASE, Hasher, mix64
 
 LENGTH, GRAM = 400, 200
 #: Bytes hashed at a time; positions within them fit the low bits of a sampling key.
 CHUNK_BITS = 20
-#: Classes of one name that are compared within a task; larger names are split by window.
+#: Classes of one name that go into one shard; larger names are split by window.
 GROUP_CLASSES = 10_000
+
+
 def _least_ahead(keys: np.ndarray, w: int) -> np.ndarray:
     """Least of every w keys in a row, by prefix and suffix minima of blocks of w."""
     n = len(keys) - w + 1
@@ -104,10 +111,6 @@ _WANTED = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("name", pa.int64()
 _RUNS = "doc long, h long, s long, e long"
 
 
-#: Bytes of spans worked on at a time; a larger name is worked on by itself.
-SPAN_BYTES = 1 << 19
-
-
 def _windows(table: pa.Table, length: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row number, offset and name of every window of the spans in a table."""
     spans = table.column("bytes").combine_chunks()
@@ -122,45 +125,46 @@ def _windows(table: pa.Table, length: int, hasher: Hasher) -> tuple[np.ndarray,
 
 
 def _induce(length: int):
-    """Runs of repeated windows of single classes; rows come sorted by name."""
-
-    def repeated(table: pa.Table, hasher: Hasher) -> pa.RecordBatch:
-        row, offset, window = _windows(table, length, hasher)
-        names = table.column("name").to_numpy().view(np.uint64)
-        key = mix64(window ^ mix64(names[row] + offset.astype(np.uint64) * np.uint64(BASE)))
-        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-        keep = (count[which] > 1) & (table.column("n").to_numpy() == 1)[row]
-        row, start = row[keep], table.column("at").to_numpy()[row[keep]] - offset[keep]
-        order = np.lexsort((start, row))
-        row, start = row[order], start[order]
-        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)]) if len(row) else row
-        last = np.r_[first[1:], len(row)] - 1 if len(row) else row
-        take = lambda c: table.column(c).to_numpy()[row[first]]
-        return pa.RecordBatch.from_arrays([pa.array(x.astype("i8")) for x in (take("doc"), take("h"), start[first], start[last])], names=["doc", "h", "s", "e"])
+    """Runs of repeated windows of single classes among the spans of a shard, by external induced sorting.
+
+    Files lie in the executor's own Spark folders, as its spills do, and go with the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = Hasher(SPAN_BYTES), [], 0
+        with tempfile.TemporaryDirectory(dir=random.choice(os.environ["SPARK_LOCAL_DIRS"].split(","))) as folder:
+            text, places = Table(os.path.join(folder, "text"), "u2"), Table(os.path.join(folder, "places"), "i8", 6)
+            for batch in batches:
+                spans = batch.column("bytes")
+                size = np.diff(np.frombuffer(spans.buffers()[1], dtype=np.int32)[spans.offset : spans.offset + len(spans) + 1]).astype(np.int64)
+                starts = text.rows + np.cumsum(size + 1) - size - 1
+                # Letters are bytes plus 2; every span ends with 1 and the shard with 0.
+                letters = np.ones(int(size.sum()) + len(size), dtype=np.uint16)
+                letters[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = np.frombuffer(b"".join(s.as_buffer() for s in spans), dtype=np.uint8).astype(np.uint16) + 2
+                text.add(letters)
+                doc, h, at, least, most, n = (batch.column(c).to_numpy() for c in ("doc", "h", "at", "least", "most", "n"))
+                single = n == 1
+                places.add(np.stack([doc, h, at - most, starts, starts + most - least, n], axis=1)[single])
+            if text.rows:
+                text.add(np.zeros(1, dtype=np.uint16))
+                marks, places = repeated(folder, text.map(), length), places.map()
+                for lo in range(0, len(places), 1000):
+                    yield _marked(places[lo : lo + 1000], marks)
 
-        def wide(rows: int) -> Hasher:
-            return hasher if len(hasher.up) > rows * 2 * length else Hasher(rows * 2 * length)
+    return run
 
-        for batch in batches:
-            # A name has at most GROUP_CLASSES spans, so what is held stays small.
-            held.append(batch)
-            size += batch.num_rows * 2 * length
-            if size >= SPAN_BYTES:
-                table = pa.Table.from_batches(held)
-                names = table.column("name").to_numpy()
-                cut = int(np.searchsorted(names, names[-1]))
-                if cut:
-                    hasher = wide(cut)
-                    yield repeated(table.slice(0, cut), hasher)
-                    held, size = table.slice(cut).to_batches(), (table.num_rows - cut) * 2 * length
-        if held:
-            table = pa.Table.from_batches(held)
-            yield repeated(table, wide(table.num_rows))
 
-    return run
+def _marked(places: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    """Runs of marked starts of spans (doc, h, place of the first start in the document, first and last start in the shard, n)."""
+    doc, h, origin, first, last = places[:, :5].T
+    counts = last - first + 1
+    row = np.repeat(np.arange(len(counts)), counts)
+    start = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    kept = marks[first[row] + start] == 1
+    row, start = row[kept], start[kept]
+    opens = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)]) if len(row) else row
+    closes = np.r_[opens[1:], len(row)] - 1 if len(row) else row
+    of = row[opens]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[of], h[of], origin[of] + start[opens], origin[of] + start[closes])], names=["doc", "h", "s", "e"])
 
 
 def _explode(length: int):
@@ -194,7 +198,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     wanted = stored(wanted.agg(F.collect_list(F.struct("name", F.col("place.at").alias("at"), "least", "most", "n", "big")).alias("wanted")))
     spans = texts.join(small_side(wanted), ["doc_id", "h"]).select("doc_id", "h", "text", "wanted").mapInArrow(_cut_out(length), "doc long, h long, name long, at long, least int, most int, n long, big boolean, bytes binary")
     spans = stored(spans)
-    induced = spans.where("NOT big").repartition("name").sortWithinPartitions("name").mapInArrow(_induce(length), _RUNS)
+    induced = spans.where("NOT big").repartition("name").mapInArrow(_induce(length), _RUNS)
     windows = spans.where("big").mapInArrow(_explode(length), "doc long, h long, name long, n long, offset int, window long, s long")
     again = windows.groupBy("name", "offset", "window").agg(F.count("*").alias("c")).where("c > 1").select("name", "offset", "window")
     split = windows.where("n = 1").join(again, ["name", "offset", "window"], "left_semi").select("doc", "h", "s", F.col("s").alias("e"))
