@@ -12,21 +12,40 @@ for each value.
 Tuples are popped, looked up and pushed in blocks: as many from the front as
 push nothing in front of a later one. Held in memory are a block of the queue
 (`BLOCK` tuples), what is not yet flushed to its files, and in levels below the
-first two numbers for each name; texts, types and orders are mapped files.
+first two numbers for each name; texts, types and orders are mapped files. A
+tuple takes 8 bytes in a file, and 4 more where its range has several keys; a file
+goes as soon as it is read for the last time.
 """
 
 from __future__ import annotations
 
 import os
+import shutil
 from collections.abc import Callable, Iterator
 
 import numpy as np
 
 BLOCK = 1 << 16
 _FAR = np.iinfo(np.int64).max
+#: Bits of a common prefix beside its position in a file.
+_LOW = 16
 Emit = Callable[[np.ndarray, np.ndarray], None]
 
 
+def _packed(pos: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    return pos << _LOW | lcp
+
+
+def _opened(packed: np.ndarray) -> np.ndarray:
+    """Rows (position, prefix)."""
+    packed = np.asarray(packed)
+    return np.stack([packed >> _LOW, packed & ((1 << _LOW) - 1)], axis=1)
+
+
+def _wide(n: int) -> str:
+    return "u4" if n < 1 << 32 else "i8"
+
+
 class Table:
     """Rows of numbers appended to a file and read back as a mapped array."""
 
@@ -43,6 +62,10 @@ class Table:
         shape = (self.rows,) if self.width == 1 else (self.rows, self.width)
         return np.memmap(self.path, self.dtype, "r+", shape=shape) if self.rows else np.empty(shape, self.dtype)
 
+    def drop(self) -> None:
+        """The file's space is free once no array maps it."""
+        os.remove(self.path)
+
 
 class Queue:
     """Priority queue of rows (key, position, prefix); equal keys leave in the order in which they came.
@@ -58,9 +81,11 @@ class Queue:
         starts = np.r_[False, (part[1:] != part[:-1]) | large[1:] | large[:-1]]
         self._range = np.cumsum(starts).astype(np.int32)
         self._single = np.bincount(self._range) == 1
+        self._key = np.flatnonzero(np.r_[True, starts[1:]])
         self._waiting: dict[int, list[np.ndarray]] = {}
         self._files: dict[int, list[int]] = {}
         self._folder, self._block, self._held, self._at = folder, block, 0, 0
+        self._mixed = np.dtype([("key", _wide(len(counts))), ("rest", "i8")])
         self._front = np.empty((0, 3), np.int64)
 
     def push(self, rows: np.ndarray) -> None:
@@ -85,7 +110,11 @@ class Queue:
         for r, parts in self._waiting.items():
             with open(self._path(r), "ab") as file:
                 for part in parts:
-                    file.write(np.ascontiguousarray(part).data)
+                    rest = _packed(part[:, 1], part[:, 2])
+                    if not self._single[r]:
+                        rows = np.empty(len(part), self._mixed)
+                        rows["key"], rows["rest"] = part[:, 0], rest
+                    file.write((rest if self._single[r] else rows).tobytes())
             self._files.setdefault(r, [0, 0])[1] += sum(map(len, parts))
         self._waiting, self._held = {}, 0
 
@@ -96,7 +125,10 @@ class Queue:
         rows = []
         if read < written:
             take = min(self._block, written - read) if self._single[r] else written - read
-            rows.append(np.fromfile(self._path(r), np.int64, 3 * take, offset=24 * read).reshape(-1, 3))
+            kind = np.dtype("i8") if self._single[r] else self._mixed
+            got = np.fromfile(self._path(r), kind, take, offset=kind.itemsize * read)
+            key, rest = (np.full(take, self._key[r]), got) if self._single[r] else (got["key"].astype(np.int64), got["rest"])
+            rows.append(np.c_[key, _opened(rest)])
             self._files[r][0] += take
         if (read == written or not self._single[r]) and r in self._waiting:
             rows += self._waiting.pop(r)
@@ -242,12 +274,15 @@ class Level:
         return kinds
 
     def _leftmost(self) -> np.ndarray:
-        table = self._table("lms", "i8")
+        table = self._table("lms", _wide(len(self.text)))
         for part in _chunks(len(self.text)):
             kinds = self.kinds[max(0, part.start - 1) : part.stop]
             table.add(max(0, part.start - 1) + 1 + np.flatnonzero((kinds[1:] == 1) & (kinds[:-1] == 0)))
         return table.map()
 
+    def _places(self, part: slice | np.ndarray) -> np.ndarray:
+        return self.lms[part].astype(np.int64)
+
     def _counts(self, kinds: np.ndarray | None, at: np.ndarray | None = None) -> np.ndarray:
         """Suffixes by key in rising order, of a table of positions or of all."""
         out = np.zeros(2 * self.letters, np.int64)
@@ -267,17 +302,19 @@ class Level:
             key = up.keys(self.text[rows[:, 0]], 1)
             order = np.argsort(key, kind="stable")
             queue.push(np.c_[key, rows][order])
-        table = self._table("rising", "i8", 2)
-        up.run(queue, lambda key, rows: table.add(rows[key % 2 == 0]))
+        table = self._table("rising", "i8")
+        up.run(queue, lambda key, rows: table.add(_packed(*rows[key % 2 == 0].T)))
         rising = table.map()
 
         down = _Scan(self.text, self.kinds, self.letters, False, limit)
         queue = self._queue("down", every[::-1].copy())
         for part in reversed(list(_chunks(len(rising)))):
-            rows = rising[part][::-1]
+            rows = _opened(rising[part.start : part.stop + 1])[::-1]
+            rows = rows if part.stop < len(rising) else np.vstack([[[0, 0]], rows])
             # The prefix with the smaller one becomes the smaller one's prefix with this.
-            after = np.r_[rising[part.stop, 1] if part.stop < len(rising) else 0, rows[:-1, 1]]
-            queue.push(np.c_[down.keys(self.text[rows[:, 0]], 0), rows[:, 0], after])
+            queue.push(np.c_[down.keys(self.text[rows[1:, 0]], 0), rows[1:, 0], rows[:-1, 1]])
+        del rising
+        table.drop()
         down.run(queue, emit)
         last = np.array([len(self.text) - 1])
         emit(down.keys(self.text[last], 1), np.array([[last[0], 0]]))
@@ -287,24 +324,25 @@ class Level:
         os.makedirs(folder)
         return Queue(folder, counts, self.block)
 
-    def _named(self) -> tuple[np.ndarray, int, np.ndarray]:
-        """Names of the substrings between leftmost S-type suffixes, in text order; how many; and their order."""
-        table = self._table("by-substring", "i8")
+    def _named(self) -> tuple[np.ndarray, int, Table]:
+        """Names of the substrings between leftmost S-type suffixes, in text order; how many; and their falling order."""
+        table = self._table("by-substring", _wide(len(self.text)))
 
         def keep(key: np.ndarray, rows: np.ndarray) -> None:
             pos = rows[:, 0]
             table.add(pos[(pos > 0) & (self.kinds[pos] == 1) & (self.kinds[np.maximum(pos - 1, 0)] == 0)])
 
-        self.induce(lambda: (np.c_[self.lms[part], np.zeros(part.stop - part.start, np.int64)] for part in _chunks(len(self.lms))), None, keep)
+        self.induce(lambda: (np.c_[self._places(part), np.zeros(part.stop - part.start, np.int64)] for part in _chunks(len(self.lms))), None, keep)
         falling = table.map()
         order = falling[::-1]
-        names = self._table("names", "i8")
-        names.add(np.zeros(len(self.lms), np.int64))
+        names = self._table("names", _wide(len(self.text)))
+        for part in _chunks(len(self.lms)):
+            names.add(np.zeros(part.stop - part.start))
         text, number, before = names.map(), -1, None
         for part in _chunks(len(order), 1 << 15):
-            pos = np.asarray(order[part])
-            at = np.searchsorted(self.lms, pos)
-            size = self.lms[np.minimum(at + 1, len(self.lms) - 1)] - pos
+            pos = order[part].astype(np.int64)
+            at = np.searchsorted(self.lms, pos.astype(self.lms.dtype))
+            size = self._places(np.minimum(at + 1, len(self.lms) - 1)) - pos
             if before is not None:
                 pos, size = np.r_[before[0], pos], np.r_[before[1], size]
             same = np.r_[False, size[1:] == size[:-1]]
@@ -313,36 +351,41 @@ class Level:
             fresh = ~same if before is None else ~same[1:]
             text[at] = number + np.cumsum(fresh)
             number, before = int(text[at[-1]]), (pos[-1], size[-1])
-        return text, number + 1, order
+        return text, number + 1, table
 
     def sorted(self, limit: int, emit: Emit) -> None:
         """Emits the suffixes in falling order: keys and (position, prefix with the one before, up to the limit)."""
-        names, letters, order = self._named()
+        names, letters, table = self._named()
         if letters == len(self.lms):
-            below = lambda part: (np.searchsorted(self.lms, order[part]), 0)
+            order = table.map()[::-1]
+            below = lambda part: np.c_[np.searchsorted(self.lms, order[part]), np.zeros(part.stop - part.start, np.int64)]
         else:
-            table = self._table("below", "i8", 2)
+            table.drop()
+            table = self._table("below", "i8")
+            folder = os.path.join(self.folder, "below-level")
             # Every name covers two letters or more.
-            Level(os.path.join(self.folder, "below-level"), names, letters, self.block).sorted(limit // 2 + 1, lambda key, rows: table.add(rows))
-            falling = table.map()
-            rising = falling[::-1]
+            Level(folder, names, letters, self.block).sorted(limit // 2 + 1, lambda key, rows: table.add(_packed(*rows.T)))
+            shutil.rmtree(folder)
+            rising = table.map()[::-1]
 
-            def below(part: slice) -> tuple[np.ndarray, np.ndarray]:
+            def below(part: slice) -> np.ndarray:
                 # Emitted is the prefix with the larger neighbour; wanted with the smaller one.
-                after = np.r_[0, rising[part.start : part.stop - 1, 1]] if part.start == 0 else rising[part.start - 1 : part.stop - 1, 1]
-                return rising[part, 0], after
+                rows = _opened(rising[max(0, part.start - 1) : part.stop])
+                rows = rows if part.start else np.vstack([[[0, 0]], rows])
+                return np.c_[rows[1:, 0], rows[:-1, 1]]
+
+        os.remove(os.path.join(self.folder, "names"))
+        del names
 
         def seeds() -> Iterator[np.ndarray]:
             before = None
             for part in _chunks(len(self.lms), 1 << 15):
-                at, shared = below(part)
-                at = np.asarray(at)
-                shared = np.broadcast_to(shared, at.shape)
+                at, shared = below(part).T
                 left = np.r_[at[0] if before is None else before, at[:-1]]
-                a, b = self.lms[left + shared], self.lms[at + shared]
-                base = a - self.lms[left]
+                a, b = self._places(left + shared), self._places(at + shared)
+                base = a - self._places(left)
                 room = np.where(left == at, 0, limit - base)
-                yield np.c_[self.lms[at], np.minimum(limit, base + common(self.text, a, b, room))]
+                yield np.c_[self._places(at), np.minimum(limit, base + common(self.text, a, b, room))]
                 before = at[-1]
 
         self.induce(seeds, limit, emit)
@@ -351,8 +394,10 @@ class Level:
 def repeated(folder: str, text: np.ndarray, limit: int, block: int = BLOCK) -> np.ndarray:
     """Mapped array with 1 at each position whose suffix shares `limit` letters with another's.
 
-    Letters are 16 bits wide; the last is 0 and single.
+    Letters are 16 bits wide; the last is 0 and single. The limit is below 65,536.
     """
+    if limit >= 1 << _LOW:
+        raise ValueError(f"a limit of {limit} doesn't fit {_LOW} bits")
     marks = Table(os.path.join(folder, "repeated"), "u1")
     for part in _chunks(len(text)):
         marks.add(np.zeros(part.stop - part.start, "u1"))
