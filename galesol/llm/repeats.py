@@ -11,7 +11,8 @@ neighbours lie, and each shard is sorted by external induction (`induced.py`):
    end here. The others get class names from the whole span of the windows they
    serve, and spans of one class are told from one of them. A class that
    occurs twice repeats in all its windows.
-3. Sort. Spans of the classes of a name meet in a shard. Disk-backed queues
+3. Sort. Spans of the classes of a name meet in a shard, where those that share no
+   string at one of five offsets (350 of 400 bytes), and so no window, stay out. Disk-backed queues
    carry their suffixes and common prefixes through recursive induction; starts whose
    common prefix with a neighbour is `length` or more repeat. A name with more than
    `GROUP_CLASSES` classes would be a shard of its own: its windows are counted by hash instead.
@@ -35,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from galesol.llm.common import discard, prepare, small_side, stored
+from galesol.llm.common import ARROW_ROWS, discard, prepare, small_side, stored
 from galesol.llm.induced import Table, repeated
 from galesol.llm.lines import keyed
 from galesol.llm.shingles import BASE, Hasher, mix64
@@ -124,26 +125,82 @@ def _windows(table: pa.Table, length: int, hasher: Hasher) -> tuple[np.ndarray,
     return row, most[row] - place, hasher.names(sums, start, start + length, start)
 
 
-def _induce(length: int):
+def _ends(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of a batch's spans end to end, and the place in them of each span and of the end."""
+    spans = batch.column("bytes")
+    ends = np.frombuffer(spans.buffers()[1], dtype=np.int32)[spans.offset : spans.offset + len(spans) + 1].astype(np.int64)
+    return np.frombuffer(spans.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _parts(batch: pa.RecordBatch, length: int, gram: int, hasher: Hasher) -> np.ndarray:
+    """Five hashes a span. Two spans of a name that share a window share one of them.
+
+    A window at offset o of the anchor holds the string of length - step bytes at offset
+    step * (o // step), so equal windows have an equal string there; 0 where no window reaches.
+    """
+    step = -(-(length - gram) // 4)
+    data, ends = _ends(batch)
+    sums = hasher.sums(data)
+    name, least, most = (batch.column(c).to_numpy().astype(np.int64) for c in ("name", "least", "most"))
+    out = np.zeros((batch.num_rows, 5), dtype=np.uint64)
+    for i in range(5):
+        has = np.flatnonzero((least < step * (i + 1)) & (most >= step * i))
+        start = ends[:-1][has] + most[has] - step * i
+        string = hasher.names(sums, start, start + length - step, start)
+        out[has, i] = mix64(string ^ mix64(name[has].view(np.uint64) + np.full(len(has), i, dtype=np.uint64) * np.uint64(BASE))) | np.uint64(1)
+    return out
+
+
+def _recurring(parts: np.ndarray, single: np.ndarray, most: int = 1 << 22) -> np.ndarray:
+    """Rows with a number that another row has too, a single class among them; about `most` numbers are held at a time."""
+    out = np.zeros(len(parts), dtype=bool)
+    turns = 1 + parts.size // most
+    for turn in range(turns):
+        found = []
+        for lo in range(0, len(parts), 1 << 16):
+            row, column = np.nonzero((parts[lo : lo + (1 << 16)] >> np.uint64(1)) % np.uint64(turns) == turn)
+            value = parts[lo + row, column]
+            found.append((value[value > 0], lo + row[value > 0]))
+        value, row = (np.concatenate(x) for x in zip(*found))
+        _, which, count = np.unique(value, return_inverse=True, return_counts=True)
+        some = np.bincount(which, weights=single[row] == 1) > 0
+        out[row[((count > 1) & some)[which]]] = True
+    return out
+
+
+def _induce(length: int, gram: int):
     """Runs of repeated windows of single classes among the spans of a shard, by external induced sorting.
 
+    Spans that share no long enough string with another of their name stay out of the sort.
     Files lie in the executor's own Spark folders, as its spills do, and go with the task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory(dir=random.choice(os.environ["SPARK_LOCAL_DIRS"].split(","))) as folder:
-            text, places = Table(os.path.join(folder, "text"), "u2"), Table(os.path.join(folder, "places"), "i8", 6)
-            for batch in batches:
-                spans = batch.column("bytes")
-                size = np.diff(np.frombuffer(spans.buffers()[1], dtype=np.int32)[spans.offset : spans.offset + len(spans) + 1]).astype(np.int64)
-                starts = text.rows + np.cumsum(size + 1) - size - 1
-                # Letters are bytes plus 2; every span ends with 1 and the shard with 0.
-                letters = np.ones(int(size.sum()) + len(size), dtype=np.uint16)
-                letters[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = np.frombuffer(b"".join(s.as_buffer() for s in spans), dtype=np.uint8).astype(np.uint16) + 2
-                text.add(letters)
-                doc, h, at, least, most, n = (batch.column(c).to_numpy() for c in ("doc", "h", "at", "least", "most", "n"))
-                single = n == 1
-                places.add(np.stack([doc, h, at - most, starts, starts + most - least, n], axis=1)[single])
+            file = lambda name: os.path.join(folder, name)
+            text, places, parts, single = Table(file("text"), "u2"), Table(file("places"), "i8", 5), Table(file("parts"), "u8", 5), Table(file("single"), "u1")
+            hasher = Hasher(ARROW_ROWS * 2 * length)
+            with pa.OSFile(file("spans"), "wb") as sink, pa.ipc.new_stream(sink, _WANTED) as kept:
+                for batch in batches:
+                    hasher = hasher if len(hasher.up) > batch.num_rows * 2 * length else Hasher(batch.num_rows * 2 * length)
+                    kept.write_batch(pa.RecordBatch.from_arrays(batch.columns, schema=_WANTED))
+                    parts.add(_parts(batch, length, gram, hasher))
+                    single.add(batch.column("n").to_numpy() == 1)
+            live, done = _recurring(parts.map(), single.map()) if parts.rows else np.zeros(0, dtype=bool), 0
+            with pa.memory_map(file("spans")) as source:
+                for batch in pa.ipc.open_stream(source):
+                    chosen = batch.filter(pa.array(live[done : done + batch.num_rows]))
+                    done += batch.num_rows
+                    data, ends = _ends(chosen)
+                    size, order = np.diff(ends), np.arange(chosen.num_rows)
+                    starts = text.rows + ends[:-1] + order
+                    # Letters are bytes plus 2; every span ends with 1 and the shard with 0.
+                    letters = np.ones(len(data) + len(size), dtype=np.uint16)
+                    letters[np.arange(len(data)) + np.repeat(order, size)] = data.astype(np.uint16) + 2
+                    text.add(letters)
+                    doc, h, at, least, most, n = (chosen.column(c).to_numpy() for c in ("doc", "h", "at", "least", "most", "n"))
+                    places.add(np.stack([doc, h, at - most, starts, starts + most - least], axis=1)[n == 1])
+            os.remove(file("spans"))
             if text.rows:
                 text.add(np.zeros(1, dtype=np.uint16))
                 marks, places = repeated(folder, text.map(), length), places.map()
@@ -154,8 +211,8 @@ def _induce(length: int):
 
 
 def _marked(places: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
-    """Runs of marked starts of spans (doc, h, place of the first start in the document, first and last start in the shard, n)."""
-    doc, h, origin, first, last = places[:, :5].T
+    """Runs of marked starts of spans (doc, h, place of the first start in the document, first and last start in the shard)."""
+    doc, h, origin, first, last = places.T
     counts = last - first + 1
     row = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -198,7 +255,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     wanted = stored(wanted.agg(F.collect_list(F.struct("name", F.col("place.at").alias("at"), "least", "most", "n", "big")).alias("wanted")))
     spans = texts.join(small_side(wanted), ["doc_id", "h"]).select("doc_id", "h", "text", "wanted").mapInArrow(_cut_out(length), "doc long, h long, name long, at long, least int, most int, n long, big boolean, bytes binary")
     spans = stored(spans)
-    induced = spans.where("NOT big").repartition("name").mapInArrow(_induce(length), _RUNS)
+    induced = spans.where("NOT big").repartition("name").mapInArrow(_induce(length, gram), _RUNS)
     windows = spans.where("big").mapInArrow(_explode(length), "doc long, h long, name long, n long, offset int, window long, s long")
     again = windows.groupBy("name", "offset", "window").agg(F.count("*").alias("c")).where("c > 1").select("name", "offset", "window")
     split = windows.where("n = 1").join(again, ["name", "offset", "window"], "left_semi").select("doc", "h", "s", F.col("s").alias("e"))

@@ -693,3 +693,16 @@ def test_long_texts_are_cut_with_overlap(monkeypatch, spark):
     shared = text[1_048_100:1_049_000]
     out = {r["doc_id"]: r for r in repeats.repeat_report(frame(spark, [(1, text), (2, "zz" + shared)])).collect()}
     assert out[1]["n_removed"] == out[2]["n_removed"] == 900
+
+
+def test_recurring_numbers_in_several_turns():
+    """Rows that share a number with another one; two repeated classes alone need no sort."""
+    rng = np.random.default_rng(4)
+    parts = rng.integers(0, 60, (40, 5)).astype(np.uint64)
+    parts[parts < 8] = 0
+    single = rng.integers(0, 2, 40).astype("u1")
+    holders = {v: {i for i in range(40) if v in parts[i].tolist()} for v in range(1, 60)}
+    repeated = {v: int((parts == v).sum()) > 1 for v in holders}
+    want = [any(repeated[v] and any(single[j] for j in holders[v]) for v in parts[i].tolist() if v) for i in range(40)]
+    for most in (1 << 22, 7):
+        assert repeats._recurring(parts, single, most).tolist() == want
