@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -411,6 +412,34 @@ def test_rows_of_one_key_are_connected(monkeypatch, bucket):
     assert not sure.any() and all(group[i] == group[j] for i in range(40) for j in range(40) if k[i] == k[j] and sim[i] == sim[j])
 
 
+def test_every_pair_of_a_large_key_that_passes_the_gate_is_connected(spark, monkeypatch):
+    """Rows that are near each other, but not their key's first, on both sides of what is compared where they meet."""
+    monkeypatch.setattr(lines, "BUCKET", 8)
+    monkeypatch.setattr(lines, "PART", 5)
+    rng = np.random.default_rng(4)
+    kinds = rng.integers(-(2**63), 2**63, 6).tolist()
+    rows = [(k, i, kinds[i % 6], 50 if i % 5 else 80) for k, n in ((8, 60), (18, 40), (24, 7)) for i in range(n)]
+    met = spark.createDataFrame(rows, "k long, id long, sim long, chars int").coalesce(1).sortWithinPartitions("k", "id")
+    pairs = met.mapInArrow(lines._bucket_pairs(0.8), "a long, b long, sure boolean")
+    classes = spark.createDataFrame([(i, kinds[i % 6], kinds[i % 6], 50 if i % 5 else 80) for i in range(60)], "id long, sim3 long, sim5 long, chars int")
+    group = list(range(60))
+    for r in lines.candidates(pairs, classes, 0.8).collect():
+        assert r["a"] % 6 == r["b"] % 6 and (r["a"] % 5 == 0) == (r["b"] % 5 == 0)
+        one, other = group[r["a"]], group[r["b"]]
+        group = [one if g == other else g for g in group]
+    assert all(group[i] == group[j] for i in range(60) for j in range(60) if i % 6 == j % 6 and (i % 5 == 0) == (j % 5 == 0))
+
+
+def test_a_key_of_many_batches_goes_on_row_by_row():
+    """A key with more rows than a task holds: each row once, and the keys behind it as before."""
+    k = np.r_[np.full(5, 8), np.full(300_000, 16), np.full(2, 24)].astype(np.int64)
+    sim, chars = np.zeros(len(k), dtype=np.int64), np.full(len(k), 50, dtype=np.int32)
+    batches = [pa.RecordBatch.from_pydict({"k": k[a : a + 4096], "id": np.arange(len(k))[a : a + 4096], "sim": sim[a : a + 4096], "chars": chars[a : a + 4096]}) for a in range(0, len(k), 4096)]
+    out = [r for b in lines._bucket_pairs(0.8)(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert sorted(r[1] for r in out if r[2] is None) == list(range(5, 300_005)) and {r[0] for r in out if r[2] is None} == {16}
+    assert {i for r in out if r[2] is False for i in r[:2]} == {*range(5), 300_005, 300_006}
+
+
 # --- sharding
 
 
