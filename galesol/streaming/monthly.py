@@ -1,68 +1,37 @@
 """Monthly histograms with state: a month's counts are kept per key and come out once, when the watermark passes the month's end.
 
-Each key and month is a group of its own, with an array of counts as its state and one
-event-time timer; a restart goes on with the counts of an open month. Rows older than the
-watermark are dropped, as in the windowed streams; streaming.restate takes those back in.
+Months have no fixed length, which windows need. So rows get a time of their own, on which every
+month begins a multiple of 32 days after the first one and runs as it does on the calendar: windows of
+32 days are months there, and a watermark that stays `delay` behind passes the end of a month
+when the newest row is `delay` into the next. Rows of a month that is over are late and dropped;
+streaming.restate takes those back in. A restart goes on with the counts of an open month.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
 
 from galesol.operators.histogram import bin_of
 from galesol.streaming.indicators import DELAY
 
-# The processor travels by value; a cluster needs no installed copy of this module.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class MonthCounts(StatefulProcessor):
-    """Counts of bins of one key and month. The last part of the key is the month's end, in milliseconds."""
-
-    def __init__(self, keys: list[str], bins: int):
-        self.keys, self.bins = keys, bins
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getValueState("counts", StructType([StructField("counts", ArrayType(LongType()))]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        total = np.zeros(self.bins, dtype=np.int64)
-        if self.counts.exists():
-            total += np.array(self.counts.get()[0], dtype=np.int64)
-        else:
-            self.handle.registerTimer(int(key[-1]))
-        for df in rows:
-            total += np.bincount(df["bin"].to_numpy(), minlength=self.bins)
-        self.counts.update((total.tolist(),))
-        return iter(())
+#: Days from the beginning of a month to that of the next on the rows' own time.
+SPAN = 32
+_DAY_US = 86_400_000_000
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        counts = list(self.counts.get()[0])
-        self.counts.clear()
-        yield pd.DataFrame({**{k: [v] for k, v in zip([*self.keys, "closes"], key)}, "counts": [counts]})
 
-    def close(self) -> None:
-        pass
+def _even(time: Column) -> Column:
+    """The time on an axis on which each month takes SPAN days."""
+    month = F.trunc(time.cast("date"), "month")
+    number = (F.year(month) - 1970) * 12 + F.month(month) - 1
+    return F.timestamp_micros(number.cast("long") * SPAN * _DAY_US + F.unix_micros(time) - F.unix_micros(month.cast("timestamp")))
 
 
 def stream_month_histogram(stream: DataFrame, value: str, keys: list[str], bins: int, delay: str = DELAY) -> DataFrame:
     """keys, month, bin (all bins), count of a value in [0, 1], for each month once it is over.
 
-    Needs the RocksDB state store (run_available(..., timers=True) sets it)."""
-    rows = stream.where(F.col(value).between(0.0, 1.0)).withWatermark("time", delay)
-    closes = F.unix_millis(F.add_months(F.trunc(F.col("time").cast("date"), "month"), 1).cast("timestamp"))
-    rows = rows.select(*keys, "time", closes.alias("closes"), bin_of(F.col(value), F.lit(0.0), F.lit(1.0), bins).alias("bin"))
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", closes long, counts array<long>"
-    months = rows.groupBy(*keys, "closes").transformWithStateInPandas(MonthCounts(keys, bins), outputStructType=schema, outputMode="Append", timeMode="EventTime")
-    month = F.add_months(F.timestamp_millis("closes").cast("date"), -1)
-    return months.select(*keys, month.alias("month"), F.posexplode("counts").alias("bin", "count"))
+    The delay is to be shorter than a month (28 days)."""
+    rows = stream.where(F.col(value).between(0.0, 1.0)).select(*keys, _even(F.col("time")).alias("even"), bin_of(F.col(value), F.lit(0.0), F.lit(1.0), bins).alias("bin"))
+    counts = [F.count_if(F.col("bin") == i).alias(f"n{i}") for i in range(bins)]
+    months = rows.withWatermark("even", delay).groupBy(*keys, F.window("even", f"{SPAN} days").alias("w")).agg(*counts)
+    month = F.add_months(F.lit("1970-01-01").cast("date"), (F.unix_micros("w.start") / (SPAN * _DAY_US)).cast("int"))
+    return months.select(*keys, month.alias("month"), F.posexplode(F.array(*[F.col(f"n{i}") for i in range(bins)])).alias("bin", "count"))

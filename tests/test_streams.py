@@ -158,3 +158,15 @@ def test_fixed_histogram_of_months_equals_the_stream(spark, tmp_path):
     frame = spark.createDataFrame(rows, SCHEMA).withColumn("month", F.trunc(F.col("time").cast("date"), "month")).where("month < '2024-03-01'")
     batch = H.fixed_histogram(frame, "cf", ["cell_id", "month"], 30).select("cell_id", "month", "bin", "count")
     assert sorted(map(tuple, out.select("cell_id", "month", "bin", "count").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_months_of_many_cells_take_no_step_per_cell(spark, tmp_path):
+    """Months close a day behind their end, over a leap February and the turn of a year; no Python runs for a cell."""
+    times = [dt.datetime(2023, 12, 31, 23), dt.datetime(2024, 1, 31, 23, 59, 59), dt.datetime(2024, 2, 29, 12), dt.datetime(2024, 3, 1, 23, 59, 59)]
+    put(spark, [(c, t, 0.5) for c in range(500) for t in times], tmp_path / "in")
+    months = monthly.stream_month_histogram(stream(spark, tmp_path / "in"), "cf", ["cell_id"], 10)
+    assert "Python" not in months._jdf.queryExecution().analyzed().toString() and "InPandas" not in months._jdf.queryExecution().analyzed().toString()
+    run = lambda: I.run_available(months, "m", folder=str(tmp_path / "out"), timers=True).groupBy("month").agg(F.sum("count").alias("n"), F.count("*").alias("rows")).collect()
+    assert {tuple(r) for r in run()} == {(dt.date(2023, 12, 1), 500, 5000), (dt.date(2024, 1, 1), 500, 5000)}
+    put(spark, [(0, dt.datetime(2024, 3, 2), 0.5)], tmp_path / "in")
+    assert {tuple(r) for r in run()} == {(dt.date(2023, 12, 1), 500, 5000), (dt.date(2024, 1, 1), 500, 5000), (dt.date(2024, 2, 1), 500, 5000)}
