@@ -169,3 +169,18 @@ def test_a_failed_release_comes_again_and_changed_files_are_errors(spark, tmp_pa
     os.utime(file, (1, 1))
     with pytest.raises(ValueError, match="has changed"):
         desk.take()
+
+
+def test_daily_rows_are_dealt_by_their_number(spark, sf, monkeypatch):
+    """A larger table takes more tasks, not larger ones, and what is aggregated by cell goes on in them."""
+    from galesol.operators import temporal
+    from galesol.sources import fixtures
+
+    want = {tuple(r) for r in fixtures.obs_daily(spark, sf).select("cell_id", "day", "tm").collect()}
+    monkeypatch.setattr(fixtures, "PART_ROWS", 300)
+    days = fixtures.obs_daily(spark, sf)
+    parts = -(-spark.read.parquet(f"{sf}/lineitem.parquet").count() // 300)
+    assert parts > 4 and days.rdd.getNumPartitions() == parts
+    assert temporal.rescale(days, "ws", "daily", ["cell_id"], "day").rdd.getNumPartitions() == parts
+    assert temporal.calendar_pivot(days, "ws", ["cell_id"]).rdd.getNumPartitions() == parts
+    assert {tuple(r) for r in days.select("cell_id", "day", "tm").collect()} == want
