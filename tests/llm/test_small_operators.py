@@ -440,6 +440,58 @@ def test_a_key_of_many_batches_goes_on_row_by_row():
     assert {i for r in out if r[2] is False for i in r[:2]} == {*range(5), 300_005, 300_006}
 
 
+def test_only_lines_that_meet_are_compared(spark, monkeypatch, words):
+    """Pairs that are compared grow with the lines of a chain, each of which is near its neighbours only, not with their square."""
+    rng = random.Random(12)
+    held, counts = [rng.choice(words) for _ in range(40)], []
+    chain = []
+    for i in range(300):
+        chain.append(" ".join(held))
+        held[i % 40] = rng.choice(words)
+    plain = lines.linked
+
+    def counting(pairs, plains, least):
+        counts.append(pairs.count())
+        return plain(pairs, plains, least)
+
+    monkeypatch.setattr(lines, "linked", counting)
+    monkeypatch.setattr(lines, "WHOLE", 100)
+    kept = lines.line_report(spark.createDataFrame(list(enumerate(chain)), "doc_id long, text string")).where("n_removed = 0").collect()
+    assert [r["doc_id"] for r in kept] == [0]
+    assert len(counts) == 2 and sum(counts) < 20 * len(chain)
+
+
+def test_pairs_left_out_at_their_hub_are_compared():
+    """A row apart from the hub meets all others of other labels that are near it, once."""
+    rows = [(9, 1, 0, 7, 100, 9, False), (9, 2, 0, 7, 100, 2, True), (9, 3, 0, 7, 100, 3, True), (9, 4, 0, -1, 100, 4, True), (9, 5, 0, 7, 50, 5, True), (8, 6, 0, 7, 100, 6, True)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("hub", "id", "sim3", "sim5", "chars", "label", "apart"), r)) for r in sorted(rows)])
+    got = {tuple(sorted(r)) for b in lines._siblings(0.8)(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))}
+    assert got == {(1, 2), (1, 3), (2, 3)}
+
+
+def test_all_pairs_of_two_labels_in_a_large_key():
+    rows = [(8, 0, 1, part, i, 7, 100, label) for i, part, label in ((1, 0, 1), (2, 0, 2), (3, 1, 1), (4, 1, 4), (5, 1, 2))]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("k", "i", "j", "part", "id", "sim", "chars", "label"), r)) for r in rows])
+    got = sorted(r for b in lines._part_rest(0.8)(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns)))
+    assert got == [(1, 4), (1, 5), (2, 3), (2, 4)]
+
+
+def test_a_distance_that_ends_early_is_above_its_limit():
+    rng = random.Random(4)
+    for _ in range(400):
+        a = "".join(rng.choice("abcdef ") for _ in range(rng.randint(30, 300)))
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choice([[], ["q"], ["a", "b"]])
+        at = rng.choice([0, rng.randrange(len(b) + 1)])
+        b = "".join(b[at:] + b[:at])
+        far = lines.edit_distance(a, b)
+        for most in {max(far - 1, 0), far, far + 1, max(len(a), len(b)) // 5}:
+            got = lines.edit_distance(a, b, most)
+            assert got == far if far <= most else got > most
+
+
 # --- sharding
 
 
