@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from galesol.llm import components
 from galesol.llm.components import connected_components
 
 
@@ -43,3 +46,25 @@ def test_components_match_union_find(spark, case):
     found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert len(found) == len({r["id"] for r in found})
     assert {r["id"]: r["component"] for r in found} == _expected(edges)
+
+
+@pytest.mark.parametrize("case", CASES)
+@pytest.mark.parametrize("edges", [0, 16])
+def test_components_beyond_what_one_task_takes(spark, monkeypatch, case, edges):
+    """Rounds of joins with stars of single edges, and with a last step in one task."""
+    monkeypatch.setattr(components, "EDGES", edges)
+    found = connected_components(spark.createDataFrame(CASES[case], "a long, b long").repartition(5)).collect()
+    assert len(found) == len({r["id"] for r in found})
+    assert {r["id"]: r["component"] for r in found} == _expected(CASES[case])
+
+
+@pytest.mark.parametrize("edges", [8, 1 << 20])
+def test_many_edges_among_few_ids_leave_as_few(monkeypatch, edges):
+    """Each task gives one edge an id at most, where its edges are turned into stars together."""
+    monkeypatch.setattr(components, "EDGES", edges)
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 40, (2, 2000))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 100]) for x in (a, b)], names=["a", "b"]) for lo in range(0, 2000, 100)]
+    rows = [r for batch in components._starred(iter(batches)) for r in zip(*(c.to_pylist() for c in batch.columns))]
+    assert all(x > y for x, y in rows) and _expected(rows) == _expected(zip(a.tolist(), b.tolist()))
+    assert edges == 8 or len(rows) == 39
