@@ -492,6 +492,46 @@ def test_a_distance_that_ends_early_is_above_its_limit():
             assert got == far if far <= most else got > most
 
 
+def test_distances_side_by_side():
+    """Many pairs at once against one at a time: letters of any kind, empty and long lines, moved stretches, limits just met."""
+    rng = random.Random(6)
+    for letters in ("ab", "abcdefgh ", "äß中文a\U0001f600"):
+        pairs = []
+        for _ in range(250):
+            x = "".join(rng.choice(letters) for _ in range(rng.randint(0, rng.choice([5, 70, 130, 300, 700]))))
+            at = rng.choice([0, rng.randint(0, len(x))])
+            y = list(x[at:] + x[:at])
+            for _ in range(rng.randint(0, rng.choice([3, 30, 120]))):
+                at = rng.randint(0, len(y))
+                y[at : at + rng.randint(0, 1)] = rng.choice([[], [rng.choice(letters)], ["q", "r"]])
+            pairs.append(rng.choice([(x, "".join(y)), ("".join(y), x)]))
+        far = np.array([lines.edit_distance(x, y) for x, y in pairs])
+        for by in (-1, 0, 5):
+            assert lines.within([x for x, _ in pairs], [y for _, y in pairs], far + by).tolist() == [by >= 0] * len(pairs)
+            assert lines.within([x for x, _ in pairs], [y for _, y in pairs], np.full(len(pairs), 40 + by)).tolist() == (far <= 40 + by).tolist()
+    assert lines.within([], [], np.array([], dtype=np.int64)).tolist() == []
+
+
+def test_undecided_pairs_are_computed_together(monkeypatch):
+    """Pairs of many clusters whose words don't line up wait for each other; one at a time they took most of the time."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for c in range(40):
+        x = "".join(rng.choice("abcdefgh") for _ in range(200))
+        for k in range(4):
+            # Without spaces words settle nothing; two of four are similar.
+            y = x if k == 0 else x[:30] + "z" + x[31:] if k == 1 else "".join(rng.sample(x, len(x)))
+            rows.append((c, 0, 1, 4 * c + k, k, len(y), y))
+            want[4 * c + k] = 4 * c + (k if k > 1 else 0)
+    calls, plain = [], lines._distances
+    monkeypatch.setattr(lines, "_distances", lambda xs, *rest: (calls.append(len(xs)), plain(xs, *rest))[1])
+    monkeypatch.setattr(lines, "_counts", lambda texts, run=3: (np.zeros((len(texts), 1), dtype=np.int32),) * 2)
+    batch = pa.RecordBatch.from_pylist([dict(zip(("component", "block", "blocks", "id", "sim", "chars", "text"), r)) for r in rows])
+    got = {r["id"]: r["label"] for b in lines._contract(0.8)(iter([batch.slice(0, 70), batch.slice(70)])) for r in b.to_pylist()}
+    assert got == want
+    assert sum(calls) == 40 * 6 and len(calls) <= 2
+
+
 # --- sharding
 
 
