@@ -852,3 +852,52 @@ def test_recurring_numbers_in_several_turns():
     want = [any(repeated[v] and any(single[j] for j in holders[v]) for v in parts[i].tolist() if v) for i in range(40)]
     for most in (1 << 22, 7):
         assert repeats._recurring(parts, single, most).tolist() == want
+
+
+def induced_windows(monkeypatch, folder, texts, length, gram):
+    """Starts of repeated windows of single classes by one shard's sort, those of all texts by brute force, and letters and bytes of the sort."""
+    monkeypatch.setenv("SPARK_LOCAL_DIRS", str(folder))
+    classes, hasher = {}, repeats.Hasher(1 << 16)
+    for d, text in enumerate(texts):
+        found = repeats.anchors(np.frombuffer(text, dtype=np.uint8), hasher, length, gram)
+        for name, span, at, least, most in zip(*(x.tolist() for x in found)):
+            classes.setdefault((name, span, least, most), []).append((d, at))
+    rows = [{"doc": c[0][0], "h": 0, "name": name, "at": c[0][1], "least": least, "most": most, "n": len(c), "big": False, "bytes": texts[c[0][0]][c[0][1] - most : c[0][1] - least + length]} for (name, _, least, most), c in classes.items()]
+    letters, plain = [], repeats.Level
+    monkeypatch.setattr(repeats, "Level", lambda path, text, n, *more: (letters.append(len(text)), plain(path, text, n, *more))[1])
+    batch = pa.RecordBatch.from_pylist(rows, schema=repeats._WANTED)
+    got = {(r["doc"], k) for b in repeats._induce(length, gram)(iter([batch.slice(0, 7), batch.slice(7)])) for r in b.to_pylist() for k in range(r["s"], r["e"] + 1)}
+    seen = {}
+    for d, text in enumerate(texts):
+        for k in range(len(text) - length + 1):
+            seen.setdefault(text[k : k + length], []).append((d, k))
+    alone = {(c[0][0], k) for (_, _, least, most), c in classes.items() if len(c) == 1 for k in range(c[0][1] - most, c[0][1] - least + 1)}
+    want = {place for places in seen.values() if len(places) > 1 for place in places} & alone
+    return got, want, sum(letters), sum(len(r["bytes"]) for r in rows)
+
+
+@pytest.mark.parametrize("length", [20, 33, 37, 40, 400])
+def test_words_about_anchors_tell_windows_apart(monkeypatch, tmp_path, length):
+    """Lengths that are no whole number of words, bytes of 0 beside the zeros that fill words, periods and shifted copies."""
+    rng = random.Random(length)
+    letters = rng.choice([b"\0\1", b"\0ab"])
+    passages = [bytes(rng.choice(letters) for _ in range(rng.randint(length, 3 * length))) for _ in range(4)]
+    texts = [bytes(rng.choice(letters) for _ in range(length))]
+    for _ in range(12):
+        cut = rng.choice(passages)
+        cut = cut[rng.randint(0, length // 2) : len(cut) - rng.randint(0, length // 2)]
+        around = [bytes(rng.choice(letters) for _ in range(rng.randint(0, length))) for _ in range(2)]
+        texts.append(around[0] + cut + around[1])
+    texts += [b"ab" * length, b"\0" * 2 * length, b"\0" * (2 * length + 3) + passages[0]]
+    texts = [t for t in texts if len(t) >= length]
+    got, want, _, _ = induced_windows(monkeypatch, tmp_path, texts, length, length // 2)
+    assert want and got == want
+
+
+def test_words_are_sorted_in_place_of_bytes(monkeypatch, tmp_path):
+    """A sort of eight bytes a letter; one byte a letter took most of the time."""
+    rng = random.Random(2)
+    shared = bytes(rng.randrange(256) for _ in range(700))
+    texts = [bytes(rng.randrange(256) for _ in range(rng.randint(0, 300))) + shared + bytes(rng.randrange(256) for _ in range(200)) for _ in range(5)]
+    got, want, letters, size = induced_windows(monkeypatch, tmp_path, texts, 400, 200)
+    assert want and got == want and 0 < letters < size / 6
